@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -96,7 +97,7 @@ class BytePairs:
     through `ranks`, the same vocabulary; texts that hold a special token's string go to `tokenizers` itself.
     """
 
-    MEMORY = 400_000
+    MEMORY = 300_000
     RUN = re.compile(r" \s* ")
 
     def __init__(self, path: str, ranks: str, pattern: str):
@@ -111,10 +112,18 @@ class BytePairs:
         encode = self.fast.encode_ordinary
 
         class Memory(dict):
+            """The last pieces met, in two generations: what the older one still serves moves up."""
+
+            older: dict[str, bytes] = {}
+
             def __missing__(self, piece: str) -> bytes:
+                ids = self.older.get(piece)
+                if ids is None:
+                    ids = array("I", encode(" " + piece)).tobytes()
                 if len(self) >= BytePairs.MEMORY:
+                    self.older = dict(self)
                     self.clear()
-                self[piece] = ids = np.array(encode(" " + piece), "<u4").tobytes()
+                self[piece] = ids
                 return ids
 
         self.memory = Memory()
@@ -124,9 +133,9 @@ class BytePairs:
         if any(s in text for s in self.special):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if self.RUN.search(text):
-            return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
+            return array("I", self.fast.encode_ordinary(text)).tobytes()
         head, *rest = text.split(" ")
-        return np.array(self.fast.encode_ordinary(head), "<u4").tobytes() + b"".join(map(self.memory.__getitem__, rest))
+        return array("I", self.fast.encode_ordinary(head)).tobytes() + b"".join(map(self.memory.__getitem__, rest))
 
 
 _made: dict[tuple, BytePairs] = {}
