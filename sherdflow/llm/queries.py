@@ -5,6 +5,7 @@ from __future__ import annotations
 from .op02_packing import op2_packing
 from .op03_substrings import OP3_SQL, op3_substrings
 from .op04_mixing import OP4_SQL, op4_mixing
+from .op05_toxicity import op5_toxicity
 from .op08_audio import op8_audio_features
 from .op10_jaccard import OP10_SQL, op10_jaccard
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_substrings": op3_substrings,
     "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
     "op8_audio_features": op8_audio_features,
     "op10_jaccard": op10_jaccard,
 }
