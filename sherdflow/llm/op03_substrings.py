@@ -33,6 +33,8 @@ from ._io import partitions, table
 from ._text import Chunk, batches, chunks, mix, prefix_hash, scan, sliding_min, span_hash
 
 _TOP = np.uint64(1 << 63)
+#: packed text of a bucket, about
+BUCKET_BYTES = 24 << 20
 
 
 @dataclass
@@ -64,14 +66,16 @@ class SubstringDedup:
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.append(h, 0)), pa.array(np.append(k, n))], ["kind", "h", "n"])
 
     # --- packing ----------------------------------------------------------------------------------------------
-    PACKED = "bucket long, packed binary, doc long, tie long, start long, stop long"
+    #: A row is what one batch has for one bucket: a compressed block of super-k-mers, or of settled repeats.
+    PACKED = "bucket long, settled boolean, size long, block binary"
 
-    def pack_rows(self, hot: np.ndarray):
+    def pack_rows(self, hot: np.ndarray, n_buckets: int):
         W, M = self.window, self.mmer
 
         def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches(it, 3000):
                 docs, ties = b.column(0).to_pylist(), b.column(1).to_pylist()
+                keys = [(d is None, d or 0, t) for d, t in zip(docs, ties)]
                 first: dict[bytes, tuple] = {}
                 again: list[tuple] = []
                 for c in chunks(b.column(2)):
@@ -85,77 +89,118 @@ class SubstringDedup:
                         rank = np.where(hot[at] == h, rank | _TOP, rank)
                     least = sliding_min(rank, W - M + 1)[: n - W + 1]
                     doc_of = c.doc_of_word()
-                    whole = doc_of[: n - W + 1] == doc_of[W - 1 :]
-                    at = np.flatnonzero(whole)  # windows, by their first word
+                    at = np.flatnonzero(doc_of[: n - W + 1] == doc_of[W - 1 :])  # windows, by their first word
                     if not len(at):
                         continue
                     low, owner = least[at], doc_of[at]
-                    cut = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)])
+                    cut = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])])
                     a, z = at[cut], np.append(at[cut[1:] - 1], at[-1]) + W  # words [a, z)
                     text, starts, ends = c.joined()
                     raw = text.tobytes()
                     local = a - c.words[owner[cut]]
-                    for s, e, low_, d, i, k in zip(starts[a].tolist(), ends[z - 1].tolist(), low[cut].view(np.int64).tolist(), (owner[cut] + c.first).tolist(), local.tolist(), (z - a).tolist()):
+                    for s, e, low_, d, i, k in zip(starts[a].tolist(), ends[z - 1].tolist(), low[cut].tolist(), (owner[cut] + c.first).tolist(), local.tolist(), (z - a).tolist()):
                         packed = raw[s:e]
-                        doc = docs[d]
-                        mine = (doc is None, doc or 0, ties[d], i, low_, k)
-                        had = first.get(packed)
-                        if had is None:
-                            first[packed] = mine
-                        elif had[:4] != mine[:4]:
-                            if mine < had:
+                        mine = (d, i, k, low_)
+                        had = first.setdefault(packed, mine)
+                        if had is not mine and (had[1] != i or keys[had[0]] != keys[d]):
+                            if (keys[d], i) < (keys[had[0]], had[1]):
                                 first[packed], mine = mine, had
                             again.append(mine)
-                yield self._batch([(x[4], p, *self._place(x)) for p, x in first.items()] + [(hash(x[:4]), None, *self._place(x)) for x in again])
+                out = [(b.num_rows * 31 + len(again), True, 0, self._block(docs, ties, np.array(again, np.uint64), b""))] if again else []
+                if first:
+                    packed, meta = list(first), np.array(list(first.values()), np.uint64)
+                    first = {}
+                    bucket = (mix(meta[:, 3]) % np.uint64(n_buckets)).astype(np.int64)
+                    order = np.argsort(bucket, kind="stable")
+                    edge = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1], True])
+                    for x, y in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                        own = order[x:y]
+                        body = b"\n".join([packed[i] for i in own.tolist()])
+                        out.append((int(bucket[own[0]]), False, len(body), self._block(docs, ties, meta[own], body)))
+                cols = list(zip(*out)) or [[]] * 4
+                kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds)], ["bucket", "settled", "size", "block"])
 
         return rows
 
     @staticmethod
-    def _place(x: tuple) -> tuple:
-        return (None if x[0] else x[1], x[2], x[3], x[3] + x[5])
+    def _block(docs: list, ties: list, meta: np.ndarray, body: bytes) -> bytes:
+        """meta: (row of the batch, start, words, minimiser) of each string; body: the strings, a line each."""
+        used, doc = np.unique(meta[:, 0].astype(np.int64), return_inverse=True)
+        value = np.array([docs[i] or 0 for i in used.tolist()], np.int64)
+        null = np.array([docs[i] is None for i in used.tolist()], np.uint8)
+        tie = np.array([ties[i] for i in used.tolist()], np.int64)
+        head = np.array([len(used), len(meta)], np.int64)
+        sub = (meta[:, 3] >> np.uint64(8)).astype(np.uint16)
+        parts = [head, value, null, tie, doc.astype(np.int32), meta[:, 1].astype(np.int32), meta[:, 2].astype(np.int32), sub]
+        raw = b"".join([x.tobytes() for x in parts]) + body
+        return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
 
     @staticmethod
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["bucket", "packed", "doc", "tie", "start", "stop"]
-        kinds = [pa.int64(), pa.binary()] + [pa.int64()] * 4
-        cols = list(zip(*rows)) or [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+    def _unblock(block: bytes) -> dict:
+        raw = pa.Codec("zstd").decompress(block[8:], int.from_bytes(block[:8], "little"), asbytes=True)
+        k, n = np.frombuffer(raw, np.int64, 2).tolist()
+        at, out = 16, {}
+        for name, kind, m in (("value", np.int64, k), ("null", np.uint8, k), ("tie", np.int64, k), ("doc", np.int32, n), ("start", np.int32, n), ("words", np.int32, n), ("sub", np.uint16, n)):
+            out[name] = np.frombuffer(raw, kind, m, at)
+            at += m * np.dtype(kind).itemsize
+        doc = out.pop("doc")
+        out |= {x: out[x][doc] for x in ("value", "null", "tie")}
+        return out | {"body": raw[at:]}
 
     # --- buckets ----------------------------------------------------------------------------------------------
     SPANS = "doc long, tie long, start long, stop long"
 
     def bucket_rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Input is sorted by bucket; runs of whole buckets are worked off together."""
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for b in it:
-            held.append(b)
-            size += b.nbytes
-            if size < 3 << 20:
-                continue
-            t = pa.Table.from_batches(held).combine_chunks()
-            key = t.column("bucket").to_numpy()
-            last = int(np.searchsorted(key, key[-1]))  # the last bucket may go on
-            if last:
-                yield from self._spans(t.slice(0, last))
-            held = t.slice(last).to_batches()
-            size = sum(x.nbytes for x in held) if last else 0  # a large bucket: wait for as much again
+        """Input is sorted by bucket; each bucket is worked off in parts of a few MB, by bits of the minimiser."""
+        bucket, held, size = None, [], 0
+        for b in batches(it, 64):
+            for key, settled, n, block in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if settled:
+                    x = self._unblock(block)
+                    yield self._told(x["value"], x["null"], x["tie"], x["start"].astype(np.int64), x["start"].astype(np.int64) + x["words"])
+                    continue
+                if key != bucket and held:
+                    yield from self._parts(held, size)
+                    held, size = [], 0
+                bucket = key
+                held.append(block)
+                size += n
         if held:
-            yield from self._spans(pa.Table.from_batches(held).combine_chunks())
+            yield from self._parts(held, size)
 
-    def _spans(self, t: pa.Table) -> Iterator[pa.RecordBatch]:
-        known = t.filter(t.column("packed").is_null())
-        if len(known):
-            yield from known.select(["doc", "tie", "start", "stop"]).to_batches()
-        t = t.filter(t.column("packed").is_valid())
-        if not len(t):
-            return
-        W = self.window
-        packed = t.column("packed").combine_chunks().cast(pa.large_binary())
-        packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
-        off = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
-        buf = np.frombuffer(packed.buffers()[2], np.uint8)[off[0] : off[-1]]
-        c = scan(0, buf, off - off[0])
+    @staticmethod
+    def _told(value, null, tie, start, stop) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(value, mask=null.astype(bool)), pa.array(tie), pa.array(start), pa.array(stop)], ["doc", "tie", "start", "stop"])
+
+    def _parts(self, held: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
+        n_parts = max(1, -(-size // (2 << 20)))
+        parts: list[list] = [[] for _ in range(n_parts)]
+        for block in held:
+            x = self._unblock(block)
+            body = np.frombuffer(x.pop("body"), np.uint8)
+            edge = np.append(np.flatnonzero(body == 10), len(body))
+            lo = np.append(0, edge[:-1] + 1)
+            part = x["sub"] % n_parts
+            for p in np.unique(part).tolist():
+                own = np.flatnonzero(part == p)
+                if n_parts > 1:
+                    lens = edge[own] - lo[own]
+                    pos = np.repeat(lo[own] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+                    piece = body[pos]
+                else:
+                    piece, lens = body[body != 10], edge - lo
+                parts[p].append((piece, lens, *(x[k][own] for k in ("value", "null", "tie", "start"))))
+        for i, p in enumerate(parts):
+            parts[i] = None
+            if p:
+                cols = [np.concatenate(c) for c in zip(*p)]
+                yield from self._spans(cols[0], np.concatenate([[0], np.cumsum(cols[1])]), *cols[2:])
+
+    def _spans(self, buf: np.ndarray, off: np.ndarray, doc: np.ndarray, null: np.ndarray, tie: np.ndarray, start: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Words of repeated windows among these packed strings (start: the place of each in its document)."""
+        W, start = self.window, start.astype(np.int64)
+        c = scan(0, buf, off)
         rec = c.doc_of_word()
         at = np.flatnonzero(np.arange(len(rec)) + W <= c.words[rec + 1])
         lo, hi = c.starts[at], c.ends[at + W - 1]
@@ -165,10 +210,6 @@ class SubstringDedup:
         if not same.any():
             return
         twin = order[np.r_[False, same] | np.r_[same, False]]
-        doc = t.column("doc").to_numpy(zero_copy_only=False)
-        null = np.asarray(t.column("doc").is_null())
-        doc = np.where(null, 0, np.nan_to_num(doc)).astype(np.int64) if null.any() else doc
-        tie, start = t.column("tie").to_numpy(), t.column("start").to_numpy()
         by = np.lexsort((tie, doc, null))
         rank = np.empty(len(by), np.int64)  # equal for equal documents
         rank[by] = np.cumsum(np.r_[0, (tie[by[1:]] != tie[by[:-1]]) | (doc[by[1:]] != doc[by[:-1]]) | (null[by[1:]] != null[by[:-1]])])
@@ -202,7 +243,7 @@ class SubstringDedup:
         stops = np.flatnonzero(covered & np.r_[(edge[1:] < edge[:-1]) | (rec[1:] != rec[:-1]), True]) + 1
         r = rec[begins]
         shift = start[r] - c.words[r]
-        yield pa.RecordBatch.from_arrays([pa.array(doc[r], mask=null[r]), pa.array(tie[r]), pa.array(begins + shift), pa.array(stops + shift)], ["doc", "tie", "start", "stop"])
+        yield self._told(doc[r], null[r], tie[r], begins + shift, stops + shift)
 
     # --- results ----------------------------------------------------------------------------------------------
     KEPT = "doc long, n_words long, n_removed long, kept string"
@@ -234,8 +275,9 @@ class SubstringDedup:
         hot, _ = heavy(counts, total, "mmer")
         counts.unpersist()
         n = max(partitions(spark), total * 20 >> 28)
+        n_buckets = max(n, total * 20 // BUCKET_BYTES)
         spans = (
-            rows.mapInArrow(self.pack_rows(hot), self.PACKED)
+            rows.mapInArrow(self.pack_rows(hot, n_buckets), self.PACKED)
             .repartition(n, "bucket")
             .sortWithinPartitions("bucket")
             .mapInArrow(self.bucket_rows, self.SPANS)
