@@ -44,7 +44,7 @@ class Mix:
     packet: int | None = 256
     seed: str = "mix"
     #: documents in a slot of the running sum over a source, packets in a step of virtual time
-    slot_rows: int = 20_000
+    slot_rows: int = 4_000
 
     def targets(self, sizes: DataFrame) -> DataFrame:
         """source, source_size, target: shares by weight, none above passes * source_size, the excess reshared.
