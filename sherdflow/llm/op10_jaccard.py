@@ -9,8 +9,8 @@ first; two sets of Jaccard similarity >= t share a shingle of their prefixes, th
    postings. Verified pairs give components.
 4. Round 2 takes the buckets that still hold several components, expands groups to members, and pairs across
    components only: those outside a bucket's largest component with everything of other components in it. Every
-   pair that passes size and position filters and isn't yet joined is verified, so no link between different
-   components is lost, and pairs inside a large group of copies are never enumerated.
+   pair that isn't yet joined and passes the filters (size, position, parity bitmap) is verified, so no link between
+   different components is lost, and pairs inside a large group of copies are never enumerated.
 
 The order is by estimated frequency: shingles with a large share of all shingles come last, the others by the product
 of their words' shares, words without a large share counting as rarest; ties by hash. Both tables of large shares have
@@ -42,13 +42,15 @@ from ._text import Chunk, batches, chunks, mix
 #: ids are broadcast to pick texts only up to this many (16 bytes each); beyond it the texts are joined by a shuffle
 BROADCAST_IDS = 500_000
 _COMMON = np.uint64(255)
+#: a set's parity bitmap: bit i tells whether an odd number of its hashes fall on i
+BITS = [f"b{i}" for i in range(8)]
+N_BITS = 64 * len(BITS)
 
 
 @dataclass
 class JaccardJoin:
     shingle: int = 3
     percent: int = 90
-
     # --- shingles ---------------------------------------------------------------------------------------------
     def shingles(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a lower-cased chunk: shingle hashes, the document of each, the place of its first word."""
@@ -94,7 +96,7 @@ class JaccardJoin:
         share = np.clip(np.log2(np.maximum(n, 1) / max(1, totals.get("words") or 1)) + 18, 1, 18) * 4
         return {"words": words, "share": share.astype(np.uint64), "common": common}
 
-    SKETCH = "doc long, tie long, n int, d1 long, d2 long, prefix array<long>"
+    SKETCH = "doc long, tie long, n int, d1 long, d2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS)
 
     def prefix_len(self, n: np.ndarray) -> np.ndarray:
         return n - -(-self.percent * n // 100) + 1
@@ -127,10 +129,12 @@ class JaccardJoin:
                         c1 = np.concatenate([[np.uint64(0)], np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64)])
                         c2 = np.concatenate([[np.uint64(0)], np.cumsum(mix(h * np.uint64(0x9E6C63D0876A9A99)), dtype=np.uint64)])
                         d1, d2 = c1[first + n] - c1[first], c2[first + n] - c2[first]
+                    odd = np.bincount(doc * N_BITS + (h & np.uint64(N_BITS - 1)).astype(np.int64), minlength=c.n_docs * N_BITS) & 1
+                    bits = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(c.n_docs, len(BITS))
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(c.first, c.n_docs), b.column(1).slice(c.first, c.n_docs), pa.array(n.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists],
-                        ["doc", "tie", "n", "d1", "d2", "prefix"],
+                        [b.column(0).slice(c.first, c.n_docs), b.column(1).slice(c.first, c.n_docs), pa.array(n.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists, *(pa.array(x) for x in bits.T.copy())],
+                        ["doc", "tie", "n", "d1", "d2", "prefix", *BITS],
                     )
 
         return rows
@@ -169,11 +173,18 @@ class JaccardJoin:
         return full.mapInArrow(self.verify_rows, "u long, v long")
 
     # --- candidates -------------------------------------------------------------------------------------------
+    def far_apart(self, a: str, b: str) -> str:
+        """Parity bitmaps differ in no more bits than the sets in elements: more than linked sets may differ in."""
+        bits = " + ".join(f"bit_count({a}.{x} ^ {b}.{x})" for x in BITS)
+        return f"{100 + self.percent}L * ({bits}) > {100 - self.percent}L * ({a}.n + {b}.n)"
+
     def may_link(self, a: str, b: str):
-        """Size and position filters on two postings (n, pos): the overlap they can still reach is enough."""
+        """Size, position and bitmap filters on two postings (n, pos, bitmap): no linked pair fails them."""
         p = self.percent
-        overlap = F.expr(f"least({a}.n - {a}.pos, {b}.n - {b}.pos)")
-        return F.expr(f"100L * {a}.n >= {p}L * {b}.n and 100L * {b}.n >= {p}L * {a}.n") & (F.lit(100 + p) * overlap >= F.expr(f"{p}L * ({a}.n + {b}.n)"))
+        return F.expr(
+            f"100L * {a}.n >= {p}L * {b}.n and 100L * {b}.n >= {p}L * {a}.n "
+            f"and {100 + p}L * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {p}L * ({a}.n + {b}.n) and not {self.far_apart(a, b)}"
+        )
 
     def sketch(self, rows: DataFrame) -> DataFrame:
         return checkpoint(rows.mapInArrow(self.sketch_rows(self.order(rows)), self.SKETCH))
@@ -182,9 +193,9 @@ class JaccardJoin:
         """Classes of equal sets (rep, n, d1, d2, prefix), and sketch with one set for each doc."""
         real = sketch.where("n > 0 and doc is not null")
         if real.groupBy("doc").agg(F.min("tie").alias("a"), F.max("tie").alias("b")).where("a != b").limit(1).count():
-            best = F.max_by(F.struct("n", "d1", "d2", "prefix"), "tie").alias("s")
+            best = F.max_by(F.struct("n", "d1", "d2", "prefix", *BITS), "tie").alias("s")
             real = checkpoint(real.groupBy("doc").agg(best).select("doc", "s.*"))
-        return real.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), F.first("prefix").alias("prefix")), real
+        return real.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), *(F.first(x).alias(x) for x in ("prefix", *BITS))), real
 
     def __call__(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """doc, n_shingles, component_id of each row."""
@@ -194,8 +205,9 @@ class JaccardJoin:
         classes = checkpoint(classes.withColumn("g1", F.xxhash64("prefix")).withColumn("g2", F.hash("prefix")))
         same = ["n", "g1", "g2"]
         groups = classes.groupBy(*same).agg(F.min("rep").alias("leader"), F.count("*").alias("members"), F.first("prefix").alias("prefix"))
-        groups = checkpoint(groups)
-        member = classes.join(groups.where("members > 1").select(*same, "leader"), same, "left").select("rep", F.coalesce("leader", "rep").alias("leader"))
+        bitmap = classes.select("rep", *BITS)
+        several = checkpoint(groups.where("members > 1").select(*same, "leader", F.element_at("prefix", 1).alias("token")))
+        member = classes.select("rep", *same).join(several, same, "left").select("rep", F.coalesce("leader", "rep").alias("leader"))
         member = checkpoint(member)
         post = groups.select(F.col("leader"), "n", F.posexplode("prefix").alias("pos", "token"))
         shared = post.groupBy("token").agg(F.min("leader").alias("head"), F.count("*").alias("k")).where("k > 1")
@@ -203,8 +215,12 @@ class JaccardJoin:
 
         # round 1: everything with its bucket's or group's leader
         heads = post.where("leader = head").select("token", F.col("n").alias("hn"), F.col("pos").alias("hpos"))
-        star = post.where("leader != head").join(heads, "token").selectExpr("token", "head u", "leader v", "struct(hn n, hpos pos) a", "struct(n, pos) b")
-        star = star.where(self.may_link("a", "b")).select("u", "v").unionByName(member.where("rep != leader").select(F.col("leader").alias("u"), F.col("rep").alias("v")))
+        star = post.where("leader != head").join(heads, "token").where(
+            f"100L * hn >= {self.percent}L * n and 100L * n >= {self.percent}L * hn and {100 + self.percent}L * least(n - pos, hn - hpos) >= {self.percent}L * (n + hn)"
+        )
+        star = star.select(F.col("head").alias("u"), F.col("leader").alias("v")).unionByName(member.where("rep != leader").select(F.col("leader").alias("u"), F.col("rep").alias("v"))).distinct()
+        a, b = (classes.select(F.col("rep").alias(x), F.struct("n", *BITS).alias(y)) for x, y in (("u", "a"), ("v", "b")))
+        star = star.join(a, "u").join(b, "v").where(f"not {self.far_apart('a', 'b')}").select("u", "v")
         links = checkpoint(self.verified(rows, star))
         comp = components(links)
 
@@ -215,8 +231,8 @@ class JaccardJoin:
         spread = post.join(wide, "leader").groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("token")
         inside = wide.where("lo != hi").select("leader")
         open_ = post.join(spread, "token", "left_semi").select("token", "leader", "n", "pos")
-        alone = groups.join(inside, "leader", "left_semi").select(F.element_at("prefix", 1).alias("token"), "leader", F.col("n"), F.lit(0).alias("pos"))
-        wide_post = open_.unionByName(alone).distinct().join(of, "leader").select("token", "rep", "n", "pos", "component")
+        alone = several.join(inside, "leader", "left_semi").select("token", "leader", "n", F.lit(0).alias("pos"))
+        wide_post = open_.unionByName(alone).distinct().join(of, "leader").join(bitmap, "rep").select("token", "rep", "n", "pos", "component", *BITS)
         wide_post = checkpoint(wide_post)
         sizes = wide_post.groupBy("token", "component").agg(F.count("*").alias("k"))
         major = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("major"))
