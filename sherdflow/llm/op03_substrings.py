@@ -40,7 +40,7 @@ BUCKET_BYTES = 24 << 20
 @dataclass
 class SubstringDedup:
     window: int = 20
-    mmer: int = 4
+    mmer: int = 3
 
     # --- minimisers -------------------------------------------------------------------------------------------
     def mmers(self, c: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +134,7 @@ class SubstringDedup:
         sub = (meta[:, 3] >> np.uint64(8)).astype(np.uint16)
         parts = [head, value, null, tie, doc.astype(np.int32), meta[:, 1].astype(np.int32), meta[:, 2].astype(np.int32), sub]
         raw = b"".join([x.tobytes() for x in parts]) + body
-        return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(raw, asbytes=True)
+        return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 6).compress(raw, asbytes=True)
 
     @staticmethod
     def _unblock(block: bytes) -> dict:
