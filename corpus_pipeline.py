@@ -1,8 +1,109 @@
-"""The corpus pipeline; see STAGES."""
+"""Corpus pipeline: documents -> packed sequences, in five stages; counted as part of sherdflow.llm.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+stage's docs. All but the last return the columns of docs.
+
+1. toxicity: rows with a score of 0.5 or more go. Labels outside the held-out fifth teach the lexicon.
+2. near_duplicates: of documents linked by 80 % of their five-word shingles, the one with the smallest doc_id stays.
+3. secrets: every secret's text is replaced by a mark of its kind; n_chars follows. No row goes.
+4. mixing: each document is repeated as often as the mix takes it, 0 to 2 times, always whole.
+5. packing: pieces of at most 1024 token ids, neighbours on the curve side by side.
+
+Cases: as the operators define them. Rows with a null doc_id pass stage 2 and count as one document in stage 4. Rows
+of one doc_id become one in stage 2. Extra columns pass through all stages but the last.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sherdflow.llm._io import checkpoint, name_beside, table
+from sherdflow.llm.op02_packing import Pack
+from sherdflow.llm.op04_mixing import Mix, n_words
+from sherdflow.llm.op05_toxicity import trained
+from sherdflow.llm.op07_secrets import SecretScan
+from sherdflow.llm.op10_jaccard import JaccardJoin
+
+#: a table of ids is broadcast up to this many rows (16 bytes each), beyond it the rows are joined by a shuffle
+BROADCAST_IDS = 500_000
+
+
+def _beside(small: DataFrame) -> DataFrame:
+    return F.broadcast(small) if small.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else small
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lexicon = trained(spark, docs, sf_dir)
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            keep = [lexicon.score(*lexicon.features(t)) < 0.5 for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    at = docs.columns.index("text")
+    return docs.mapInArrow(rows, docs.schema)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    of = JaccardJoin(shingle=5, percent=80)(docs, "doc_id", "text")
+    gone = checkpoint(of.where("doc != component_id").select(F.col("doc").alias("doc_id")).distinct())
+    left = docs.join(_beside(gone), "doc_id", "left_anti").select(docs.columns)
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    return left
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scan = SecretScan.fit(docs, "text")
+    at = docs.columns.index("text")
+    size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            old = b.column(at).to_pylist()
+            new = [scan.redacted(t) for t in old]
+            cols = list(b.columns)
+            cols[at] = pa.array(new, b.schema.field(at).type)
+            if size is not None:
+                kept = b.column(size).to_pylist()
+                cols[size] = pa.array([n if x == y else len(y) for n, x, y in zip(kept, old, new)], b.schema.field(size).type)
+            yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    mixed = Mix(packet=None)(docs, "doc_id", "source", n_words(F.col("text")))
+    id_, times = name_beside(docs, "mixed_id"), name_beside(docs, "times")
+    taken = checkpoint(mixed.where("taken > 0").groupBy(F.col("key").alias(id_)).agg(F.max(F.expr("taken div size")).cast("int").alias(times)))
+    full = docs.join(_beside(taken), docs["doc_id"].eqNullSafe(F.col(id_)))
+    return full.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select([docs[c] for c in docs.columns])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return Pack(keep_ids=False)(docs, "doc_id", "text").withColumnRenamed("doc", "doc_id")
+
+
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixing", mixing), ("packing", packing)]
+
+#: The stages learn, decode and tokenise: SQL can't express them. tests/llm compares them with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what a stage returns is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    checkpoint(spark.range(1))  # sets the folder where it is unset
+    base = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = f"{base}/pipeline-{os.urandom(6).hex()}-{name}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
