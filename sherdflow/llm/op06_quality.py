@@ -131,7 +131,7 @@ class LineField:
     begin: np.ndarray
 
     @classmethod
-    def fit(cls, docs: list[np.ndarray], y: np.ndarray, rounds: int = 300) -> LineField:
+    def fit(cls, docs: list[np.ndarray], y: np.ndarray, rounds: int = 150) -> LineField:
         """docs: features of lines; y: the state of all lines of each. Adam on the penalised log-likelihood."""
         T, n = max(map(len, docs)), len(docs)
         X, mask = np.zeros((n, T, N_FEATURES)), np.zeros((n, T))
@@ -192,8 +192,8 @@ class Quality:
     min_words: int = 20
     max_repeat_percent: int = 30
     min_content: float = 0.5
-    max_docs: int = 4000
-    max_lines: int = 64
+    max_docs: int = 1500
+    max_lines: int = 24
 
     def trained(self, df: DataFrame, key: str, text: str, labels: DataFrame) -> Quality:
         """labels: (key, quality 0 or 1)."""
