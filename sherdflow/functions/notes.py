@@ -13,38 +13,43 @@ from . import text as T
 ITEM = "struct<seq:string,seq_list:array<int>,name:string,artifact_ids:array<string>>"
 
 
-def with_note_items(df: DataFrame, note: str, out: str = "note_items") -> DataFrame:
-    """Adds array<ITEM>: an entry for each sequence head that leads to a name or to ids.
+def note_items(note: Column) -> Column:
+    """array<ITEM>: an entry for each sequence head that leads to a name or to ids.
 
-    Steps are columns of their own, so each is computed once. A head that begins inside an id is none.
+    A head that begins inside an id is none. Ids belong to the head before them, if they lie wholly before the next.
     """
-    step = lambda k: f"__{out}_{k}"
-    df = df.withColumn(step("raw"), F.coalesce(F.col(note), F.lit("")))
-    df = df.withColumn(step("norm"), T.aligned(F.col(step("raw"))))
-    ids = F.array_sort(F.concat(T.artifact_spans(F.col(step("norm"))), T.component_spans(F.col(step("norm")))))
-    df = df.withColumn(step("ids"), ids)
-    heads = F.filter(T.spans(F.col(step("norm")), T.HEAD), lambda h: ~F.exists(step("ids"), lambda s: (s["start"] <= h["start"]) & (h["start"] < s["stop"])))
-    df = df.withColumn(step("heads"), heads)
-
-    def item(head: Column, i: Column) -> Column:
-        raw, norm, all_heads = F.col(step("raw")), F.col(step("norm")), F.col(step("heads"))
-        end = F.coalesce(F.get(all_heads, i + 1)["start"], F.char_length(norm))
-        inside = F.filter(step("ids"), lambda s: (s["start"] >= head["stop"]) & (s["stop"] <= end))
-        arts = F.transform(inside, lambda s: T.colon_norm(T.cut(raw, s["start"], s["stop"])))
-        seq = T.strip(F.regexp_extract(T.normalize(T.cut(raw, head["start"], head["stop"])), f"^({T.HEAD_SEQ})", 1))
-        name = F.regexp_replace(F.regexp_extract(T.strip(T.cut(raw, head["stop"], end)), r"^([^（(]*)", 1), r"^[ .、]+|[ .、]+$", "")
-        name = F.regexp_replace(T.strip(name), r"^[ .、]+|[ .、]+$", "")
-        noise = (F.size(arts) == 0) & T.strip(T.cut(norm, head["stop"], end)).rlike(T.SCALE_NOISE)
-        return F.struct(seq.alias("seq"), name.alias("name"), arts.alias("artifact_ids"), noise.alias("noise"))
-
-    df = df.withColumn(step("items"), F.transform(step("heads"), item))
+    raw = F.coalesce(note, F.lit(""))
+
+    def inside(s: Column, at: Column) -> Column:
+        return (s["start"] <= at) & (at < s["stop"])
+
+    def read(norm: Column) -> Column:
+        ids = F.array_sort(F.concat(T.artifact_spans(norm), T.component_spans(norm)))
+        return T.let(ids, lambda i: T.let(F.filter(T.spans(norm, T.HEAD), lambda h: ~F.exists(i, lambda s: inside(s, h["start"]))), lambda h: items(norm, i, h)))
+
+    def items(norm: Column, ids: Column, heads: Column) -> Column:
+        def segment(head: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(heads, i + 1)["start"], F.char_length(norm))
+            mine = F.filter(ids, lambda s: (s["start"] >= head["stop"]) & (s["stop"] <= end))
+            arts = F.transform(mine, lambda s: T.colon_norm(T.cut(raw, s["start"], s["stop"])))
+            seq = T.strip(F.regexp_extract(T.normalize(T.cut(raw, head["start"], head["stop"])), f"^({T.HEAD_SEQ})", 1))
+            name = F.regexp_extract(T.strip(T.cut(raw, head["stop"], end)), r"^([^（(]*)", 1)
+            name = F.regexp_replace(T.strip(name), r"^[ .、]+|[ .、]+$", "")
+            noise = T.strip(T.cut(norm, head["stop"], end)).rlike(T.SCALE_NOISE)
+            return F.struct(seq.alias("seq"), name.alias("name"), arts.alias("artifact_ids"), noise.alias("noise"))
+
+        return F.transform(heads, segment)
 
     def final(x: Column) -> Column:
         name = F.when((x["name"] != "") & ~F.array_contains(x["artifact_ids"], x["name"]), x["name"])
         return F.struct(x["seq"].alias("seq"), T.expand_seq(x["seq"]).alias("seq_list"), name.alias("name"), x["artifact_ids"].alias("artifact_ids"))
 
-    kept = F.filter(F.transform(F.filter(step("items"), lambda x: ~x["noise"]), final), lambda x: x["name"].isNotNull() | (F.size(x["artifact_ids"]) > 0))
-    return df.withColumn(out, kept).drop(*[step(k) for k in ("raw", "norm", "ids", "heads", "items")])
+    wanted = F.filter(T.let(T.aligned(raw), read), lambda x: ~(x["noise"] & (F.size(x["artifact_ids"]) == 0)))
+    return F.filter(F.transform(wanted, final), lambda x: x["name"].isNotNull() | (F.size(x["artifact_ids"]) > 0))
+
+
+def with_note_items(df: DataFrame, note: str, out: str = "note_items") -> DataFrame:
+    return df.withColumn(out, note_items(F.col(note)))
 
 
 #: named ways to read notes: (DataFrame, note column, output column) -> DataFrame

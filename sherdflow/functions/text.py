@@ -97,12 +97,17 @@ def plate_hint(caption: Column) -> Column:
     return F.coalesce(caption, F.lit("")).rlike(PLATE_WORD)
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once for each row however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def spans(x: Column, pattern: str) -> Column:
     """array<struct<start, stop, hit>> of all matches, for a pattern that never matches the empty string.
 
     The gaps between matches and the matches take turns, so running lengths give the positions.
     """
-    gaps, hits = F.split(x, pattern, -1), F.regexp_extract_all(x, F.lit(pattern), F.lit(0))
+    hits, gaps = F.regexp_extract_all(x, F.lit(pattern), F.lit(0)), F.split(x, pattern, -1)
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,hit:string>>").alias("out"))
 
     def step(acc: Column, pair: Column) -> Column:
@@ -110,7 +115,7 @@ def spans(x: Column, pattern: str) -> Column:
         z = a + F.char_length(pair["hit"])
         return F.struct(z.alias("at"), F.concat(acc["out"], F.array(F.struct(a.alias("start"), z.alias("stop"), pair["hit"].alias("hit")))).alias("out"))
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+    pairs = let(hits, lambda h: F.zip_with(F.slice(gaps, 1, F.size(h)), h, lambda g, x: F.struct(g.alias("gap"), x.alias("hit"))))
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
@@ -135,9 +140,15 @@ def component_spans(norm: Column) -> Column:
 def caption_artifacts(caption: Column) -> Column:
     """Distinct ids of a caption in their order; components inside another id don't count."""
     text = F.coalesce(caption, F.lit(""))
-    ids = artifact_spans(aligned(text))
-    own = F.filter(component_spans(aligned(text)), lambda c: ~F.exists(ids, lambda s: (s["start"] <= c["start"]) & (c["start"] < s["stop"])))
-    return F.array_distinct(F.transform(F.array_sort(F.concat(ids, own)), lambda s: colon_norm(cut(text, s["start"], s["stop"]))))
+
+    def read(norm: Column) -> Column:
+        def with_ids(ids: Column) -> Column:
+            own = F.filter(component_spans(norm), lambda c: ~F.exists(ids, lambda s: (s["start"] <= c["start"]) & (c["start"] < s["stop"])))
+            return F.array_distinct(F.transform(F.array_sort(F.concat(ids, own)), lambda s: colon_norm(cut(text, s["start"], s["stop"]))))
+
+        return let(artifact_spans(norm), with_ids)
+
+    return let(aligned(text), read)
 
 
 def expand_seq(seq: Column) -> Column:
