@@ -266,12 +266,12 @@ def fused(spark, d):
 
 _SIDES = (
     _with(D.ITEMS_SQL, D.CAPTIONS_SQL, D.OCR_SQL)
-    + """, s AS (SELECT fig, count(DISTINCT seq) AS seqs, count(*) AS arts, bool_or(k > 1) AS multi FROM (SELECT *, count(*) OVER (PARTITION BY fig, seq) AS k FROM items) GROUP BY fig),
+    + """, s AS (SELECT fig, count(DISTINCT seq) AS seqs, count(DISTINCT art) AS arts, bool_or(k > 1) AS multi FROM (SELECT *, count(*) OVER (PARTITION BY fig, seq) AS k FROM items) GROUP BY fig),
     t AS (SELECT fig, count(*) AS texts FROM items WHERE part % 5 <> 0 GROUP BY fig), o AS (SELECT fig, count(*) AS seen FROM ocr GROUP BY fig),
     m AS (SELECT fig, count(*) AS missing FROM (SELECT DISTINCT fig, seq FROM items EXCEPT SELECT fig, seq FROM ocr) GROUP BY fig),
     x AS (SELECT fig, count(*) AS foreign_ FROM (SELECT fig, seq FROM ocr EXCEPT SELECT fig, seq FROM items) GROUP BY fig),
     j AS (SELECT c.fig, s.fig IS NOT NULL AS noted, coalesce(multi, false) AS multi, coalesce(texts, 0) > 0 AS text, coalesce(seen, 0) AS seen, coalesce(missing, 0) AS missing, coalesce(foreign_, 0) AS foreign_,
-            CASE WHEN s.fig IS NOT NULL THEN 0 WHEN c.fig % 14 = 0 THEN 2 WHEN c.fig % 7 = 0 THEN 1 ELSE 0 END AS cap, seqs
+            CASE WHEN s.fig IS NOT NULL THEN 0 WHEN c.fig % 14 = 0 THEN 2 WHEN c.fig % 7 = 0 THEN 1 ELSE 0 END AS cap, seqs, arts
           FROM caps c LEFT JOIN s USING (fig) LEFT JOIN t USING (fig) LEFT JOIN o USING (fig) LEFT JOIN m USING (fig) LEFT JOIN x USING (fig))
     """
 )
@@ -279,7 +279,7 @@ _SIDES = (
 
 @query(
     _SIDES
-    + """SELECT fig, CASE WHEN noted THEN CASE WHEN multi THEN 'split_same_seq' ELSE 'rule_a' END WHEN cap = 1 THEN 'rule_b' ELSE 'seq_missing' END AS case_type,
+    + """SELECT fig, CASE WHEN noted THEN CASE WHEN multi THEN 'split_same_seq' WHEN arts = 1 AND seqs > 1 THEN 'rule_b' ELSE 'rule_a' END WHEN cap = 1 THEN 'rule_b' ELSE 'seq_missing' END AS case_type,
     NOT noted AND (text OR seen > 0 OR cap > 0) AS degraded,
     CASE WHEN noted THEN CASE WHEN text AND seen > 0 THEN 0.95 ELSE 0.85 END WHEN cap > 0 THEN 0.68 WHEN text AND seen > 0 THEN 0.7 WHEN text THEN 0.6 ELSE 0.5 END AS confidence FROM j"""
 )
