@@ -96,7 +96,13 @@ class JaccardJoin:
         share = np.clip(np.log2(np.maximum(n, 1) / max(1, totals.get("words") or 1)) + 18, 1, 18) * 4
         return {"words": words, "share": share.astype(np.uint64), "common": common}
 
-    SKETCH = "doc long, tie long, n int, d1 long, d2 long, prefix array<long>, " + ", ".join(f"{b} long" for b in BITS)
+    @staticmethod
+    def wide_bitmap(h: np.ndarray) -> np.ndarray:
+        """A parity bitmap of a large set, with at least as many bits as it has elements."""
+        size = 1 << (len(h) - 1).bit_length()
+        return np.packbits((np.bincount((h & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).view(np.int64)
+
+    SKETCH = "doc long, tie long, n int, d1 long, d2 long, prefix array<long>, wide array<long>, " + ", ".join(f"{b} long" for b in BITS)
 
     def prefix_len(self, n: np.ndarray) -> np.ndarray:
         return n - -(-self.percent * n // 100) + 1
@@ -131,10 +137,11 @@ class JaccardJoin:
                         d1, d2 = c1[first + n] - c1[first], c2[first + n] - c2[first]
                     odd = np.bincount(doc * N_BITS + (h & np.uint64(N_BITS - 1)).astype(np.int64), minlength=c.n_docs * N_BITS) & 1
                     bits = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(c.n_docs, len(BITS))
+                    wide = [self.wide_bitmap(h[i : i + k]) if k > N_BITS else None for i, k in zip(first.tolist(), n.tolist())]
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(prefix))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(c.first, c.n_docs), b.column(1).slice(c.first, c.n_docs), pa.array(n.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists, *(pa.array(x) for x in bits.T.copy())],
-                        ["doc", "tie", "n", "d1", "d2", "prefix", *BITS],
+                        [b.column(0).slice(c.first, c.n_docs), b.column(1).slice(c.first, c.n_docs), pa.array(n.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists, pa.array(wide, pa.list_(pa.int64())), *(pa.array(x) for x in bits.T.copy())],
+                        ["doc", "tie", "n", "d1", "d2", "prefix", "wide", *BITS],
                     )
 
         return rows
@@ -160,9 +167,19 @@ class JaccardJoin:
                 keep.append(100 * both >= self.percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(u, keep) if k], pa.int64()), pa.array([x for x, k in zip(v, keep) if k], pa.int64())], ["u", "v"])
 
-    def verified(self, rows: DataFrame, pairs: DataFrame) -> DataFrame:
-        spark = rows.sparkSession
+    def verified(self, rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The linked ones of pairs (u, v). Large sets are compared by their wide bitmaps before texts are fetched."""
         pairs = checkpoint(pairs.distinct())
+        a, b = (classes.select(F.col("rep").alias(x), F.struct("n", "wide").alias(y)) for x, y in (("u", "a"), ("v", "b")))
+        pairs = pairs.join(a, "u").join(b, "v")
+        # bitmaps of different lengths differ by a factor of two: a half of the longer is laid over the other
+        half = lambda x, k: F.slice(x, F.floor(F.size(x) / 2).cast("int") * k + 1, F.floor(F.size(x) / 2).cast("int"))
+        folded = lambda x: F.zip_with(half(x, 0), half(x, 1), lambda p, q: p.bitwiseXOR(q))
+        x, y = F.col("a.wide"), F.col("b.wide")
+        x, y = F.when(F.size(x) > F.size(y), folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), folded(y)).otherwise(y)
+        apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0).cast("long"), lambda s, k: s + k)
+        far = F.col("a.wide").isNotNull() & F.col("b.wide").isNotNull() & ((100 + self.percent) * apart > (100 - self.percent) * (F.col("a.n") + F.col("b.n")))
+        pairs = checkpoint(pairs.where(~far).select("u", "v"))
         ids = pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct()
         many = ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS
         texts = rows.join(ids if many else F.broadcast(ids), "doc", "left_semi")
@@ -193,9 +210,9 @@ class JaccardJoin:
         """Classes of equal sets (rep, n, d1, d2, prefix), and sketch with one set for each doc."""
         real = sketch.where("n > 0 and doc is not null")
         if real.groupBy("doc").agg(F.min("tie").alias("a"), F.max("tie").alias("b")).where("a != b").limit(1).count():
-            best = F.max_by(F.struct("n", "d1", "d2", "prefix", *BITS), "tie").alias("s")
+            best = F.max_by(F.struct("n", "d1", "d2", "prefix", "wide", *BITS), "tie").alias("s")
             real = checkpoint(real.groupBy("doc").agg(best).select("doc", "s.*"))
-        return real.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), *(F.first(x).alias(x) for x in ("prefix", *BITS))), real
+        return real.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"), *(F.first(x).alias(x) for x in ("prefix", "wide", *BITS))), real
 
     def __call__(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """doc, n_shingles, component_id of each row."""
@@ -221,7 +238,7 @@ class JaccardJoin:
         star = star.select(F.col("head").alias("u"), F.col("leader").alias("v")).unionByName(member.where("rep != leader").select(F.col("leader").alias("u"), F.col("rep").alias("v"))).distinct()
         a, b = (classes.select(F.col("rep").alias(x), F.struct("n", *BITS).alias(y)) for x, y in (("u", "a"), ("v", "b")))
         star = star.join(a, "u").join(b, "v").where(f"not {self.far_apart('a', 'b')}").select("u", "v")
-        links = checkpoint(self.verified(rows, star))
+        links = checkpoint(self.verified(rows, star, classes))
         comp = components(links)
 
         # round 2: across components, in buckets that still hold several; groups are expanded to their members
@@ -241,7 +258,7 @@ class JaccardJoin:
         ahead = F.expr("b.component = a.major or a.rep < b.rep")
         cross = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component")) & ahead & self.may_link("a", "b"))
         cross = cross.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
-        more = checkpoint(self.verified(rows, cross))
+        more = checkpoint(self.verified(rows, cross, classes))
         if more.limit(1).count():
             comp = components(links.unionByName(more))
         comp = checkpoint(comp)
