@@ -17,7 +17,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Texts are scanned in runs of whole documents of about this many bytes, which bounds the arrays.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))

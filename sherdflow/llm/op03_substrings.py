@@ -34,7 +34,7 @@ from ._text import Chunk, batches, chunks, mix, prefix_hash, scan, sliding_min,
 
 _TOP = np.uint64(1 << 63)
 #: packed text of a bucket, about
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
 
 
 @dataclass
@@ -55,7 +55,7 @@ class SubstringDedup:
         return mix(out), np.arange(n) + m <= ends
 
     def count_rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for b in batches(it, 5000):
             got, n = [], 0
             for c in chunks(b.column(0)):
                 h, inside = self.mmers(c)
@@ -73,7 +73,7 @@ class SubstringDedup:
         W, M = self.window, self.mmer
 
         def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches(it, 3000):
+            for b in batches(it, 2000):
                 docs, ties = b.column(0).to_pylist(), b.column(1).to_pylist()
                 keys = [(d is None, d or 0, t) for d, t in zip(docs, ties)]
                 first: dict[bytes, tuple] = {}
@@ -117,6 +117,7 @@ class SubstringDedup:
                         own = order[x:y]
                         body = b"\n".join([packed[i] for i in own.tolist()])
                         out.append((int(bucket[own[0]]), False, len(body), self._block(docs, ties, meta[own], body)))
+                packed = again = None
                 cols = list(zip(*out)) or [[]] * 4
                 kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds)], ["bucket", "settled", "size", "block"])
@@ -174,7 +175,7 @@ class SubstringDedup:
         return pa.RecordBatch.from_arrays([pa.array(value, mask=null.astype(bool)), pa.array(tie), pa.array(start), pa.array(stop)], ["doc", "tie", "start", "stop"])
 
     def _parts(self, held: list[bytes], size: int) -> Iterator[pa.RecordBatch]:
-        n_parts = max(1, -(-size // (2 << 20)))
+        n_parts = max(1, -(-size // (1 << 20)))
         parts: list[list] = [[] for _ in range(n_parts)]
         for block in held:
             x = self._unblock(block)
