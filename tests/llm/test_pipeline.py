@@ -13,7 +13,7 @@ def folder(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("sf"))
     clean = [" ".join(f"k{j}x{k}" for j in range(40)) for k in range(40)]
     rows = [(k, t, "en", f"src{k % 3}", len(t)) for k, t in enumerate(clean)]
-    extra = [BASE, BASE, BASE + " end", "you idiot moron " + PASSAGE, "key: password=abcdefgh12345678 " + clean[0][:200], None, "", " "]
+    extra = [BASE, BASE, BASE + " end", "you idiot moron " + PASSAGE, "key: password=abcdefgh12345678 " + clean[0][:100], None, "", " "]
     rows += [(100 + k, t, "en", "src1" if k % 2 else None, len(t or "")) for k, t in enumerate(extra)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
