@@ -6,6 +6,8 @@ multi-byte UTF-8 sequence, so scanning bytes and scanning code points give the s
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -145,6 +147,13 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are kept between tasks, and with them what they don't use."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only with the GNU C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def batches(it: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what is made of one stays small."""
     for b in it:

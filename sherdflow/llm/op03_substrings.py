@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ._heavy import heavy, local_counts
 from ._io import partitions, table
-from ._text import Chunk, batches, chunks, mix, prefix_hash, scan, sliding_min, span_hash
+from ._text import Chunk, batches, chunks, give_back, mix, prefix_hash, scan, sliding_min, span_hash
 
 _TOP = np.uint64(1 << 63)
 #: packed text of a bucket, about
@@ -121,6 +121,7 @@ class SubstringDedup:
                 cols = list(zip(*out)) or [[]] * 4
                 kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, kinds)], ["bucket", "settled", "size", "block"])
+            give_back()
 
         return rows
 
@@ -169,6 +170,8 @@ class SubstringDedup:
                 size += n
         if held:
             yield from self._parts(held, size)
+            held = []
+        give_back()
 
     @staticmethod
     def _told(value, null, tie, start, stop) -> pa.RecordBatch:
@@ -266,6 +269,7 @@ class SubstringDedup:
                 kept = [raw[s : max(s, e - 1)].decode() for s, e in zip(left[:-1].tolist(), left[1:].tolist())]
                 removed = np.concatenate([[0], np.cumsum(gone)])[c.words]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n_docs), pa.array(np.diff(c.words)), pa.array(np.diff(removed)), pa.array(kept)], ["doc", "n_words", "n_removed", "kept"])
+        give_back()
 
     def __call__(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """doc, n_words, n_removed and the kept words joined by a space, of each row."""
