@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sherdflow.llm._io import checkpoint, name_beside, table
+from sherdflow.llm._text import batches, give_back
 from sherdflow.llm.op02_packing import Pack
 from sherdflow.llm.op04_mixing import Mix, n_words
 from sherdflow.llm.op05_toxicity import trained
@@ -41,9 +42,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lexicon = trained(spark, docs, sf_dir)
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for b in batches(it, 1000):
             keep = [lexicon.score(*lexicon.features(t)) < 0.5 for t in b.column(at).to_pylist()]
             yield b.filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     at = docs.columns.index("text")
     return docs.mapInArrow(rows, docs.schema)
@@ -64,7 +66,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for b in batches(it, 1000):
             old = b.column(at).to_pylist()
             new = [scan.redacted(t) for t in old]
             cols = list(b.columns)
@@ -73,6 +75,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                 kept = b.column(size).to_pylist()
                 cols[size] = pa.array([n if x == y else len(y) for n, x, y in zip(kept, old, new)], b.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
+        give_back()
 
     return docs.mapInArrow(rows, docs.schema)
 
