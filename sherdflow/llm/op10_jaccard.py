@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ._graph import components
 from ._heavy import heavy, local_counts
 from ._io import checkpoint, partitions, table
-from ._text import Chunk, batches, chunks, mix
+from ._text import Chunk, batches, chunks, give_back, mix
 
 #: ids are broadcast to pick texts only up to this many (16 bytes each); beyond it the texts are joined by a shuffle
 BROADCAST_IDS = 500_000
@@ -76,7 +76,7 @@ class JaccardJoin:
         return h[keep], doc[keep], at[keep]
 
     def count_rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
+        for b in batches(it, 5000):
             words, sh = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for c in chunks(b.column(0), lower=True):
                 words.append(c.word_hashes())
@@ -85,6 +85,7 @@ class JaccardJoin:
             (hw, nw), (hs, ns) = local_counts(words), local_counts(sh)
             kind = ["word"] * len(hw) + ["shingle"] * len(hs) + ["words", "shingles"]
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.r_[hw, hs, 0, 0]), pa.array(np.r_[nw, ns, len(words), len(sh)])], ["kind", "h", "n"])
+        give_back()
 
     def order(self, rows: DataFrame) -> dict:
         """Tables of the words and shingles with a large share."""
@@ -143,6 +144,7 @@ class JaccardJoin:
                         [b.column(0).slice(c.first, c.n_docs), b.column(1).slice(c.first, c.n_docs), pa.array(n.astype(np.int32)), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), lists, pa.array(wide, pa.list_(pa.int64())), *(pa.array(x) for x in bits.T.copy())],
                         ["doc", "tie", "n", "d1", "d2", "prefix", "wide", *BITS],
                     )
+            give_back()
 
         return rows
 
