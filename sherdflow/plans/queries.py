@@ -173,7 +173,7 @@ def figure_contract(spark, d):
     _with(D.ITEMS_SQL, D.PARAS_SQL)
     + """, l AS (SELECT *, CASE WHEN part % 5 <> 0 THEN art END AS own FROM paras),
     c AS (SELECT *, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY fig ORDER BY para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS a FROM l)
-    SELECT fig, CAST(para_idx AS INTEGER) AS para_ord, a AS artifact_id, text, CASE WHEN own IS NULL THEN 'no_anchor' END AS marker, CASE WHEN own IS NULL THEN 0.6 ELSE 0.95 END AS confidence FROM c WHERE a IS NOT NULL"""
+    SELECT fig, CAST(para_idx AS INTEGER) AS para_ord, a AS artifact_id, text, CASE WHEN own IS NULL THEN 'no_anchor' END AS marker, CAST(CASE WHEN own IS NULL THEN 0.6 ELSE 0.95 END AS DOUBLE) AS confidence FROM c WHERE a IS NOT NULL"""
 )
 def body_split(spark, d):
     """Paragraphs with an id are its text; those without go to the last id before them."""
@@ -184,7 +184,7 @@ def body_split(spark, d):
 @query(
     _with(D.ITEMS_SQL, D.PARAS_SQL)
     + """, p AS (SELECT fig, art, name, row_number() OVER (PARTITION BY fig ORDER BY para_idx) AS n FROM paras WHERE part % 5 <> 0)
-    SELECT fig, art AS artifact_id, art || '，' || name || '。' AS text, CASE WHEN count(*) OVER (PARTITION BY fig) = 1 THEN 0.95 ELSE 0.8 END AS confidence FROM p"""
+    SELECT fig, art AS artifact_id, art || '，' || name || '。' AS text, CAST(CASE WHEN count(*) OVER (PARTITION BY fig) = 1 THEN 0.95 ELSE 0.8 END AS DOUBLE) AS confidence FROM p"""
 )
 def body_split_many(spark, d):
     """One paragraph with all ids of a figure is cut at each."""
@@ -281,7 +281,7 @@ _SIDES = (
     _SIDES
     + """SELECT fig, CASE WHEN noted THEN CASE WHEN multi THEN 'split_same_seq' WHEN arts = 1 AND seqs > 1 THEN 'rule_b' ELSE 'rule_a' END WHEN cap = 1 THEN 'rule_b' ELSE 'seq_missing' END AS case_type,
     NOT noted AND (text OR seen > 0 OR cap > 0) AS degraded,
-    CASE WHEN noted THEN CASE WHEN text AND seen > 0 THEN 0.95 ELSE 0.85 END WHEN cap > 0 THEN 0.68 WHEN text AND seen > 0 THEN 0.7 WHEN text THEN 0.6 ELSE 0.5 END AS confidence FROM j"""
+    CAST(CASE WHEN noted THEN CASE WHEN text AND seen > 0 THEN 0.95 ELSE 0.85 END WHEN cap > 0 THEN 0.68 WHEN text AND seen > 0 THEN 0.7 WHEN text THEN 0.6 ELSE 0.5 END AS DOUBLE) AS confidence FROM j"""
 )
 def case_and_confidence(spark, d):
     return fused(spark, d).select("fig", "case_type", "degraded", "confidence")
