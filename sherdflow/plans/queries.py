@@ -215,6 +215,26 @@ def select_paragraphs(spark, d):
     return G.select_paragraphs(f, p).select(F.col("figure_id").alias("fig"), F.col("id").cast("long").alias("of_fig"), "para_idx")
 
 
+@query(
+    _with(D.ITEMS_SQL, D.CAPTIONS_SQL, D.PARAS_SQL)
+    + """, a AS (SELECT DISTINCT fig, book, art, fig % 7 = 0 AS told, CASE WHEN fig % 4 = 0 THEN 'image' || fig ELSE '图' || fig || CASE WHEN fig % 5 = 0 THEN '〇' ELSE '' END END AS number FROM caps LEFT JOIN items USING (fig)),
+    k AS (SELECT fig, book, true AS by_id, art AS key FROM a WHERE art IS NOT NULL
+      UNION SELECT fig, book, true, 'M' || fig || ':' || i FROM a, range(1, 3) r(i) WHERE art IS NULL AND told AND (i = 1 OR fig % 14 = 0)
+      UNION SELECT fig, book, false, number FROM a WHERE art IS NULL AND NOT told),
+    t AS (SELECT book, p.fig AS of_fig, para_idx, replace(text, '：', ':') AS norm, replace(replace(replace(text, ' ', ''), 'O', '〇'), 'o', '〇') AS canon FROM paras p JOIN caps USING (fig))
+    SELECT DISTINCT k.fig, of_fig, CAST(para_idx AS INTEGER) AS para_idx FROM k JOIN t ON k.book = t.book AND contains(CASE WHEN by_id THEN norm ELSE canon END, key)"""
+)
+def select_paragraphs_whole(spark, d):
+    """All figures against all paragraphs of their book: by the ids of the note, else of the caption, else by figure number."""
+    caps = D.captions(spark, d)
+    own = D.items(spark, d).groupBy("fig").agg(F.collect_set("art").alias("own"))
+    f = caps.join(own, "fig", "left")
+    number = T.figure_number(F.col("caption"), F.concat(F.lit("image"), "fig"))
+    f = f.select("book", F.col("fig").alias("figure_id"), F.coalesce("own", T.caption_artifacts(F.col("caption"))).alias("artifacts"), number.alias("fig_number"))
+    p = D.paras(spark, d).join(caps.select("fig", "book"), "fig").select("book", "para_idx", F.col("fig").cast("string").alias("id"), "text")
+    return G.select_paragraphs(f, p).select(F.col("figure_id").alias("fig"), F.col("id").cast("long").alias("of_fig"), "para_idx")
+
+
 # --- classification -------------------------------------------------------------------------------------------------
 _COUNTS = ", n AS (SELECT c.*, CASE WHEN k.n IS NOT NULL THEN k.n WHEN c.fig % 14 = 0 THEN 2 WHEN c.fig % 7 = 0 THEN 1 ELSE 0 END AS n FROM caps c LEFT JOIN (SELECT fig, count(DISTINCT art) AS n FROM items GROUP BY fig) k USING (fig))"
 _TYPE = "CASE WHEN n = 0 THEN 'discarded' ELSE CASE WHEN n = 1 THEN 'single_' ELSE 'multi_' END || CASE WHEN fig % 4 = 0 THEN 'plate' ELSE 'line' END || '_artifact' END"

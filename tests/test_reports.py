@@ -151,3 +151,46 @@ def test_streams(spark, tmp_path):
     reviews.run_available(reviews.supervise(stream), str(tmp_path / "out2"), str(tmp_path / "cp2"))
     got = {(r["figure_id"], r["round"]): (r["iteration"], r["no_improve"], r["next"]) for r in spark.read.parquet(str(tmp_path / "out2")).collect()}
     assert got == {("f1", 1): (1, False, "retry"), ("f1", 2): (2, False, "retry"), ("f1", 3): (2, True, "bridge_review"), ("f2", 1): (0, False, "bridge_review")}
+
+
+def test_select_paragraphs(spark):
+    from sherdflow.operators import figures as G
+
+    figs = [("b", "f1", ["M1:1", "M4：12"], "图一"), ("b", "f2", [], "图2O"), ("b", "f3", None, "图三"), ("b", "f4", [], ""), ("c", "f5", ["M1:1"], "图一"), ("b", "f6", ["H3①:2", ""], "图一"), ("c", "f7", ["一个很长的编号M1:1"], "x")]
+    texts = ["M1：1，豆。见图一", "M1:12，壶", "见图 2〇", "图三与图2o", "无号", "", "H3①:2与M4:123，aM1:1，bM1:1", "另有三件", None]
+    paras = [(b, k, f"p{k}", t) for b in ("b", "c", "d") for k, t in enumerate(texts)]
+    f = spark.createDataFrame(figs, "book string, figure_id string, artifacts array<string>, fig_number string")
+    p = spark.createDataFrame(paras, "book string, para_idx int, id string, text string")
+    got = sorted((r["figure_id"], r["para_idx"]) for r in G.select_paragraphs(f, p).collect())
+    norm = lambda t: t.replace("：", ":").replace("①", "1")
+    canon = lambda t: t.replace("O", "〇").replace("o", "〇").replace(" ", "")
+    want = []
+    for book, fig, arts, number in figs:
+        for b, k, _, t in paras:
+            if b == book and t is not None and (any(norm(a) in norm(t) for a in arts) if arts else canon(number) != "" and canon(number) in canon(t)):
+                want.append((fig, k))
+    assert got == sorted(want) and ("f2", 2) in want and ("f2", 3) in want
+
+
+def test_whole_queries(spark):
+    """Queries over all items and paragraphs, against their SQL; more rows than their restricted forms."""
+    import os
+
+    import duckdb
+
+    from sherdflow.plans.queries import QUERIES, SQL
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no tables")
+    c = duckdb.connect()
+    for f in os.listdir(sf):
+        c.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{sf}/{f}'")
+    for name in [x for x in QUERIES if x.endswith("_whole")]:
+        got = QUERIES[name](spark, sf)
+        cols = sorted(got.columns)
+        want = c.execute(f"SELECT {', '.join(cols)} FROM ({SQL[name]})").fetchall()
+        assert sorted(repr(tuple(r[x] for x in cols)) for r in got.collect()) == sorted(map(repr, want)), name
+        assert len(want) > 0
+    old, new = (QUERIES[x](spark, sf) for x in ("select_paragraphs", "select_paragraphs_whole"))
+    assert old.exceptAll(new).count() == 0 and old.count() < new.count()
