@@ -7,9 +7,10 @@ equal labels. Counts over all pages of a host tell how often each wrapper node w
 text: nodes that nearly always have one text are template, varying slots and what has no wrapper node are content.
 
 Meaning goes before counts, where elements have one. Menus, adverts and footers may differ from page to page, so
-elements that are boilerplate by tag, role, class or id match as single nodes and are never content. An article may
-quote what other pages quote, or be a copy, so the outermost article or main elements are slots as a whole: they match
-as single nodes and their text is content, template or not; where a page fills such a slot, other slots are left out.
+elements that are boilerplate by tag, role, class or id match as single nodes and are never content. Where a page fills
+an article or main element, text outside of it is left out; inside, matching and counts decide as elsewhere. An article
+may be a copy of the wrapper's: a page whose main text equals the wrapper's by more than `copied` of its characters says
+nothing about what is template there and isn't counted, and a main text that would go altogether is kept.
 
 Hot hosts: counts are combined before the shuffle and pages are never grouped by host. Wrappers join pages by
 broadcast while all of them are less than BROADCAST_CHARS, beyond that by a shuffle that may be split.
@@ -181,14 +182,14 @@ def number(root: Node) -> list[Node]:
 def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Simple tree matching: pairs of the largest mapping of two trees that keeps levels and the order of siblings.
 
-    Boilerplate and main slots are matched as single nodes.
+    Boilerplate is matched as single nodes.
     """
     memo: dict[tuple[int, int], tuple[int, list]] = {}
 
     def size(x: Node, y: Node) -> int:
         if x.label != y.label or x.kind != y.kind:
             return 0
-        if x.kind != "open" or not x.kids or not y.kids:
+        if x.kind == "boiler" or not x.kids or not y.kids:
             return 1
         key = (x.order, y.order)
         if key in memo:
@@ -227,26 +228,14 @@ def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
     return pairs
 
 
-def content(node: Node) -> list[str]:
-    """Texts below a node in page order, without boilerplate."""
-    out, stack = [], [node]
-    while stack:
-        x = stack.pop()
-        if x.kind != "boiler":
-            if x.text:
-                out.append(x.text)
-            stack.extend(reversed(x.kids))
-    return out
-
-
 def slots(root: Node) -> list[Node]:
-    """Main containers and free text nodes in page order."""
+    """Text nodes in page order, without boilerplate."""
     out, stack = [], [root]
     while stack:
         x = stack.pop()
-        if x.kind == "main" or x.kind == "open" and x.text:
-            out.append(x)
-        elif x.kind == "open":
+        if x.kind != "boiler":
+            if x.text:
+                out.append(x)
             stack.extend(reversed(x.kids))
     return out
 
@@ -273,6 +262,7 @@ class HtmlText:
     min_pages: int = 3
     constant: float = 0.8
     max_wrapper: int = 200_000
+    copied: float = 0.5
     BROADCAST_CHARS = 8 << 20
 
     def text(self, page: str | None, wrapper: Node | None = None, template: frozenset = frozenset()) -> str:
@@ -282,15 +272,24 @@ class HtmlText:
         root = parse(page)
         number(root)
         found = slots(root)
-        if wrapper is not None:
-            constant = {y.order for x, y in match(wrapper, root) if x.order in template and x.kind == "open" and x.text == y.text}
-            found = [x for x in found if x.order not in constant]
         if any(x.kind == "main" for x in found):
             found = [x for x in found if x.kind == "main"]
-        return " ".join(t for x in found for t in content(x))
+        if wrapper is not None and template:
+            constant = {y.order for x, y in match(wrapper, root) if x.order in template and x.text == y.text}
+            varying = [x for x in found if x.order not in constant]
+            if varying or found and found[0].kind != "main":
+                found = varying
+        return " ".join(x.text for x in found)
+
+    def met(self, known: Node, root: Node) -> tuple[bool, list[int]]:
+        """Whether the page's main text counts for the template, and the wrapper's text nodes met with their text."""
+        same = [x for x, y in match(known, root) if x.kind != "boiler" and x.text and x.text == y.text]
+        full = sum(len(x.text) for x in slots(root) if x.kind == "main")
+        counts = 0 < full and sum(len(x.text) for x in same if x.kind == "main") <= self.copied * full
+        return counts, [x.order for x in same if x.kind == "open" or counts]
 
     def count_rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """host, wrapper node (0: pages), how often met with the wrapper's text."""
+        """host, wrapper node (0: pages, -1: pages whose main text counts), how often met with the wrapper's text; nodes of main texts as -2 - node."""
         n: Counter = Counter()
         wrappers = _Wrappers()
         for b in batches(it, 500):
@@ -301,7 +300,10 @@ class HtmlText:
                 root = parse(page)
                 number(root)
                 n[host, 0] += 1
-                n.update((host, x.order) for x, y in match(known, root) if x.kind == "open" and x.text and x.text == y.text)
+                counts, same = self.met(known, root)
+                n[host, -1] += counts
+                mains = {x.order for x in slots(known) if x.kind == "main"}
+                n.update((host, -2 - x if x in mains else x) for x in same)
             if len(n) > 200_000:
                 yield self._counted(n)
                 n = Counter()
@@ -325,9 +327,10 @@ class HtmlText:
         wrappers = checkpoint(chosen.groupBy("host").agg(F.max("page").alias("wrapper")).withColumn("template", F.array().cast("array<long>")))
         counts = self.with_wrapper(pages, wrappers).select("host", "page", "wrapper").mapInArrow(self.count_rows, "host string, node long, n long")
         counts = counts.groupBy("host", "node").agg(F.sum("n").alias("n"))
-        of_host = F.max(F.when(F.col("node") == 0, F.col("n")))
-        counts = counts.groupBy("host").agg(of_host.alias("k"), F.collect_list(F.struct("node", "n")).alias("nodes"))
-        fixed = F.transform(F.filter("nodes", lambda x: (x["node"] > 0) & (x["n"] >= self.min_pages) & (x["n"] >= self.constant * F.col("k"))), lambda x: x["node"])
+        of_host = lambda node: F.max(F.when(F.col("node") == node, F.col("n")))
+        counts = counts.groupBy("host").agg(of_host(0).alias("k"), of_host(-1).alias("k_main"), F.collect_list(F.struct("node", "n")).alias("nodes"))
+        often = lambda x: (x["n"] >= self.min_pages) & (x["n"] >= self.constant * F.when(x["node"] > 0, F.col("k")).otherwise(F.col("k_main")))
+        fixed = F.transform(F.filter("nodes", lambda x: ((x["node"] > 0) | (x["node"] < -1)) & often(x)), lambda x: F.when(x["node"] > 0, x["node"]).otherwise(-2 - x["node"]))
         return checkpoint(wrappers.select("host", "wrapper").join(counts.select("host", fixed.alias("template")), "host"))
 
     def rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

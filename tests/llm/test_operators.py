@@ -345,6 +345,21 @@ def test_html(spark):
     assert HtmlText()(df.limit(0), "page_id", "url", "html").count() == 0
 
 
+def test_html_inside_articles(spark):
+    from sherdflow.llm.op09_html import HtmlText
+
+    page = "<body><div>Site</div><article><p>Only on our site: read this first.</p><h1>{h}</h1><p>{t}</p><p>All rights with the house.</p></article></body>"
+    rows = [(k, f"http://a.org/{k}", page.format(h=f"Head {k}", t=f"Body of {k}, " + f"words {k} " * 20)) for k in range(8)]
+    same = page.format(h="Copied", t="An article that is on every page of this host. " * 9)
+    rows += [(100 + k, f"http://copies.org/{k}", same) for k in range(8)]
+    rows += [(200 + k, f"http://few.org/{k}", page.format(h=f"Head {k}", t=f"Text {k} " * 30)) for k in range(2)]
+    got = {r["key"]: r["text"] for r in HtmlText()(spark.createDataFrame(rows, "k long, url string, html string"), "k", "url", "html").collect()}
+    for k in range(8):
+        assert got[k] == f"Head {k} Body of {k}, " + " ".join(f"words {k}" for _ in range(20))
+        assert got[100 + k].count("An article that is on every page") == 9 and got[100 + k].startswith("Only on our site")
+    assert got[200].startswith("Only on our site")
+
+
 def test_urls(spark):
     import math
 
