@@ -201,6 +201,32 @@ def descriptions(spark, d):
     return N.describe(got, ["cust"]).select("cust", "artifact_id", "description_text")
 
 
+@query(
+    _with(D.ITEMS_SQL, D.PARAS_SQL)
+    + """, l AS (SELECT *, CASE WHEN part % 5 <> 0 THEN art END AS own FROM paras),
+    g AS (SELECT *, count(own) OVER (PARTITION BY fig ORDER BY para_idx) AS k, count(own) OVER (PARTITION BY fig) AS ids FROM l)
+    SELECT fig, max(own) AS artifact_id, string_agg(text, '' ORDER BY para_idx) AS text, CAST(CASE WHEN any_value(ids) = 1 THEN 0.95 ELSE 0.8 END AS DOUBLE) AS confidence
+    FROM g WHERE ids = 1 OR ids > 1 AND k > 0 GROUP BY fig, CASE WHEN ids > 1 THEN k END"""
+)
+def body_split_many_whole(spark, d):
+    """All text of a figure in one paragraph: cut at each id, what names none stays with the id before it."""
+    p = D.paras(spark, d).groupBy("fig").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_idx", "text"))), lambda x: x["text"]), "").alias("text"))
+    got = N.split_body(p.withColumn("id", F.lit("p0")).withColumn("n", F.lit(0)), ["fig"], "n")
+    return got.select("fig", "artifact_id", "text", "confidence")
+
+
+@query(
+    _with(D.ITEMS_SQL, D.PARAS_SQL)
+    + """, l AS (SELECT *, CASE WHEN part % 5 <> 0 THEN art END AS own FROM paras),
+    c AS (SELECT *, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY fig ORDER BY para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS a FROM l)
+    SELECT cust, a AS artifact_id, arg_max(text, para_idx) AS description_text FROM c WHERE a IS NOT NULL GROUP BY ALL"""
+)
+def descriptions_whole(spark, d):
+    """The last text of an artifact wins, over all paragraphs: one without an id is text of the id before it."""
+    got = N.split_body(D.paras(spark, d), ["cust", "fig"], "para_idx")
+    return N.describe(got, ["cust"]).select("cust", "artifact_id", "description_text")
+
+
 @query(
     _with(D.ITEMS_SQL, D.PARAS_SQL)
     + """, a AS (SELECT DISTINCT fig, o_custkey AS cust, art FROM items JOIN orders ON o_orderkey = fig WHERE seq = 1)
