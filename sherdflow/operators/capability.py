@@ -1,6 +1,6 @@
 """Image models as pluggable table functions, with deterministic stand-ins that are joins.
 
-A model is a function over DataFrames: diagnose(figs) -> figure_id, defects, points; segment(figs) -> masks;
+A model is a function over DataFrames: diagnose(figs) -> figure_id, defects, points; segment(figs, prompted) -> masks;
 read(figs) -> annotations, scales, orientation. Real models go through `call_model`, which reads recorded answers
 first and calls the service only for the rest, with retries inside the partition.
 """
@@ -23,7 +23,7 @@ REPLAY = "replay_key string, response string"
 
 class Models(Protocol):
     def diagnose(self, figs: DataFrame) -> DataFrame: ...
-    def segment(self, figs: DataFrame) -> DataFrame: ...
+    def segment(self, figs: DataFrame, prompted: bool = False) -> DataFrame: ...
     def read(self, figs: DataFrame) -> tuple[DataFrame, DataFrame]: ...
 
 

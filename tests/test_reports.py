@@ -79,6 +79,31 @@ def test_run_book(spark, elements):
     assert [r["pairs"] for r in reports.totals(run).orderBy(F.asc_nulls_last("book")).collect()] == [3, 3, 6]
 
 
+class Improving(P.MockModels):
+    """Defects left in each round, by book: one has fewer each time, two as many."""
+
+    def __init__(self, ground):
+        super().__init__(ground)
+        self.prompts = []
+
+    def diagnose(self, figs):
+        n = F.when(F.col("book") == "one", 2 - F.col("iteration")).otherwise(2)
+        return figs.select("figure_id", F.array_repeat(F.lit("under_seg"), n).alias("defects"), F.array(F.lit("1,1")).alias("points"))
+
+    def segment(self, figs, prompted=False):
+        if prompted:
+            self.prompts += [r["figure_id"] for r in figs.collect()]
+        return super().segment(figs, prompted)
+
+
+def test_supervised_run(spark, elements):
+    ground = spark.createDataFrame([(f"{b}:a", ["1", "2"]) for b in ("one", "two")], "figure_id string, seqs array<string>")
+    models = Improving(ground)
+    status = {r["figure_id"]: r["status"] for r in reports.run_book(elements, models).figures.collect()}
+    assert (status["one:a"], status["two:a"]) == ("OUTPUT", "PENDING_REVIEW")
+    assert sorted(set(models.prompts)) == ["one:a", "two:a"]
+
+
 def test_alarms(spark):
     items = "array<struct<seq:string,seq_list:array<int>,name:string,artifact_ids:array<string>>>"
     rows = [("n", [("1", [1], "a", ["M:1"])], ["1", "2"], [], []), ("n", [("1", [1], "a", []), ("2", [2], "b", [])], ["1"], [(None,), ("1",)], [(True,)]), ("n", [], ["1", "2"], [("8",), ("1",)], []), (None, [], ["1"], [], [])]
