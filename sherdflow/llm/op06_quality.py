@@ -4,7 +4,7 @@ Counts decide first (too few words, too many words in repeated windows). What pa
 content or boilerplate, by Viterbi decoding of a linear-chain conditional random field over shape features of lines;
 a document is kept if enough of its words stand in content lines.
 
-The field is trained here on a bounded sample of labelled documents (max_docs), of up to max_lines lines each: there
+The field is trained here on a bounded sample of labelled documents (max_docs), with all their lines: there
 are no labels of lines, so a line's training label is its document's quality. Every document is decoded whole.
 
 Repeated windows are found by 64-bit hashes within a document; lines are compared as text.
@@ -133,36 +133,56 @@ class LineField:
     @classmethod
     def fit(cls, docs: list[np.ndarray], y: np.ndarray, rounds: int = 150) -> LineField:
         """docs: features of lines; y: the state of all lines of each. Adam on the penalised log-likelihood."""
-        T, n = max(map(len, docs)), len(docs)
-        X, mask = np.zeros((n, T, N_FEATURES)), np.zeros((n, T))
-        for i, d in enumerate(docs):
-            X[i, : len(d)], mask[i, : len(d)] = d, 1
-        gold = np.zeros((n, 2))
-        gold[np.arange(n), y] = 1
+        n = len(docs)
+        order = np.argsort([len(d) for d in docs], kind="stable")
+        padded, first = [], 0
+        for i in range(1, n + 1):  # padded to at most twice the shortest of a batch
+            if i == n or len(docs[order[i]]) > 2 * len(docs[order[first]]):
+                padded.append(cls._padded([docs[j] for j in order[first:i]], y[order[first:i]]))
+                first = i
+        want = sum(cls._wanted(*x) for x in padded)
         theta = np.zeros(N_FEATURES * 2 + 6)
         m = v = np.zeros_like(theta)
-        pairs = mask[:, 1:]
-        want = np.concatenate([np.einsum("ntf,nt,ns->fs", X, mask, gold).ravel(), np.diag(gold.T @ pairs.sum(1)).ravel(), gold.sum(0)])
         for r in range(1, rounds + 1):
             f = cls._of(theta)
-            score = X @ f.weights
-            alpha, beta = np.zeros((n, T, 2)), np.zeros((n, T, 2))
-            alpha[:, 0] = f.begin + score[:, 0]
-            for t in range(1, T):
-                nxt = np.logaddexp.reduce(alpha[:, t - 1, :, None] + f.step, 1) + score[:, t]
-                alpha[:, t] = np.where(mask[:, t, None] > 0, nxt, alpha[:, t - 1])
-            for t in range(T - 2, -1, -1):
-                nxt = np.logaddexp.reduce(f.step + (score[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-                beta[:, t] = np.where(mask[:, t + 1, None] > 0, nxt, beta[:, t + 1])
-            z = np.logaddexp.reduce(alpha[:, -1], 1)
-            p = np.exp(alpha + beta - z[:, None, None]) * mask[:, :, None]
-            two = np.exp(alpha[:, :-1, :, None] + f.step + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * pairs[:, :, None, None]
-            have = np.concatenate([np.einsum("ntf,nts->fs", X, p).ravel(), two.sum((0, 1)).ravel(), p[:, 0].sum(0)])
+            have = sum(cls._expected(f, X, mask) for X, mask, _ in padded)
             grad = (want - have) / n - 1e-4 * theta
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             theta = theta + 0.1 * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
         return cls._of(theta)
 
+    @staticmethod
+    def _padded(docs: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        T, n = max(map(len, docs)), len(docs)
+        X, mask = np.zeros((n, T, N_FEATURES)), np.zeros((n, T))
+        for i, d in enumerate(docs):
+            X[i, : len(d)], mask[i, : len(d)] = d, 1
+        gold = np.zeros((n, 2))
+        gold[np.arange(n), y] = 1
+        return X, mask, gold
+
+    @staticmethod
+    def _wanted(X: np.ndarray, mask: np.ndarray, gold: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.einsum("ntf,nt,ns->fs", X, mask, gold).ravel(), np.diag(gold.T @ mask[:, 1:].sum(1)).ravel(), gold.sum(0)])
+
+    @staticmethod
+    def _expected(f: LineField, X: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        n, T = mask.shape
+        pairs = mask[:, 1:]
+        score = X @ f.weights
+        alpha, beta = np.zeros((n, T, 2)), np.zeros((n, T, 2))
+        alpha[:, 0] = f.begin + score[:, 0]
+        for t in range(1, T):
+            nxt = np.logaddexp.reduce(alpha[:, t - 1, :, None] + f.step, 1) + score[:, t]
+            alpha[:, t] = np.where(mask[:, t, None] > 0, nxt, alpha[:, t - 1])
+        for t in range(T - 2, -1, -1):
+            nxt = np.logaddexp.reduce(f.step + (score[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
+            beta[:, t] = np.where(mask[:, t + 1, None] > 0, nxt, beta[:, t + 1])
+        z = np.logaddexp.reduce(alpha[:, -1], 1)
+        p = np.exp(alpha + beta - z[:, None, None]) * mask[:, :, None]
+        two = np.exp(alpha[:, :-1, :, None] + f.step + (score[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * pairs[:, :, None, None]
+        return np.concatenate([np.einsum("ntf,nts->fs", X, p).ravel(), two.sum((0, 1)).ravel(), p[:, 0].sum(0)])
+
     @classmethod
     def _of(cls, theta: np.ndarray) -> LineField:
         k = N_FEATURES * 2
@@ -193,7 +213,6 @@ class Quality:
     max_repeat_percent: int = 30
     min_content: float = 0.5
     max_docs: int = 1500
-    max_lines: int = 24
 
     def trained(self, df: DataFrame, key: str, text: str, labels: DataFrame) -> Quality:
         """labels: (key, quality 0 or 1)."""
@@ -208,7 +227,7 @@ class Quality:
             for b in it:
                 for c in chunks(b.column(1)):
                     m = measure(c)
-                    x = [m.features[s : min(e, s + self.max_lines)].astype(np.float32).tobytes() for s, e in zip(m.lines[:-1], m.lines[1:])]
+                    x = [m.features[s:e].astype(np.float32).tobytes() for s, e in zip(m.lines[:-1], m.lines[1:])]
                     yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n_docs), b.column(2).slice(c.first, c.n_docs).cast(pa.int64()), pa.array(x, pa.binary())], ["key", "quality", "x"])
 
         got = two.select("key", "text", "quality").mapInArrow(rows, "key long, quality long, x binary").toPandas().sort_values(["key", "x"])

@@ -345,6 +345,17 @@ def test_html(spark):
     assert HtmlText()(df.limit(0), "page_id", "url", "html").count() == 0
 
 
+def test_quality_learns_from_all_lines(spark):
+    from sherdflow.llm.op06_quality import Quality
+
+    same = "a plain line of words that both kinds of text begin with\n" * 30
+    rows = [(k, same + (f"click here to buy now | {k}\n" if k % 2 else f"The river ran past {k} old mills and a bridge.\n") * 30) for k in range(40)]
+    df = spark.createDataFrame(rows, "k long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "key long, quality int")
+    field = Quality().trained(df, "k", "text", labels).field
+    assert abs(field.weights[:, 0] - field.weights[:, 1]).max() > 0.1  # the first 24 lines tell nothing
+
+
 def test_html_inside_articles(spark):
     from sherdflow.llm.op09_html import HtmlText
 
