@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sherdflow.llm._io import checkpoint, name_beside, table
+from sherdflow.llm._io import checkpoint, name_beside, small_batches, table
 from sherdflow.llm._text import batches, give_back
 from sherdflow.llm.op02_packing import Pack
 from sherdflow.llm.op04_mixing import Mix, n_words
@@ -39,6 +39,7 @@ def _beside(small: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     lexicon = trained(spark, docs, sf_dir)
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,6 +53,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     of = JaccardJoin(shingle=5, percent=80)(docs, "doc_id", "text")
     gone = checkpoint(of.where("doc != component_id").select(F.col("doc").alias("doc_id")).distinct())
     left = docs.join(_beside(gone), "doc_id", "left_anti").select(docs.columns)
@@ -61,6 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     scan = SecretScan.fit(docs, "text")
     at = docs.columns.index("text")
     size = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
@@ -81,6 +84,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     mixed = Mix(packet=None)(docs, "doc_id", "source", n_words(F.col("text")))
     id_, times = name_beside(docs, "mixed_id"), name_beside(docs, "times")
     taken = checkpoint(mixed.where("taken > 0").groupBy(F.col("key").alias(id_)).agg(F.max(F.expr("taken div size")).cast("int").alias(times)))
@@ -89,6 +93,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return Pack(keep_ids=False)(docs, "doc_id", "text").withColumnRenamed("doc", "doc_id")
 
 

@@ -25,6 +25,18 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Settings under which a batch that goes to Python, and the JVM's copies of it, stay at a few MB.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20, "spark.sql.parquet.columnarReaderBatchSize": 1024}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's batch sizes to SMALL_BATCHES; smaller ones that are set already stay."""
+    for name, most in SMALL_BATCHES.items():
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, most)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
