@@ -330,7 +330,7 @@ PAGE = "<html><head><title>T</title><script>var a='</p>';</script></head><body><
 
 
 def test_html(spark):
-    from sherdflow.llm.op09_html import HtmlText, match, number, parse
+    from sherdflow.llm.op09_html import HtmlText, Matcher, number, parse
 
     rows = [(k, f"http://A.example/{k}", PAGE.format(nav=f"n{k}", body=f"<p>Text {k} &lt;one&gt;<p>second <b>bold</b>   {k}</p>"), "x") for k in range(8)]
     rows += [(20, "http://b.example/", "<article><h1>Head</h1><p>a<br>b<aside>no</aside></p><section class='comments'>no</section></article> outside", "x"), (21, None, None, "x"), (22, "no", "", "x"), (23, "u://", "plain &eacute; text <!-- no --> <style>no</style>end", "x"), (23, "u://", "plain &eacute; text <!-- no --> <style>no</style>end", "x")]
@@ -341,7 +341,7 @@ def test_html(spark):
     assert got == want
     a, b = parse("<ul><li>x<li>y<li>z</ul>"), parse("<ul><li>y<li>z</ul>")
     number(a), number(b)
-    assert len(match(a, b)) == 6
+    assert len(Matcher()(a, b)) == 6
     assert HtmlText()(df.limit(0), "page_id", "url", "html").count() == 0
 
 
@@ -442,3 +442,81 @@ def test_urls(spark):
         assert verdict is None or r["verdict"] == verdict
     assert got[214]["score"] > max(got[k]["score"] for k in (0, 1))  # an unseen spelling of a spam host
     assert op(df.limit(0), "page_id", "url").count() == 0
+
+
+def test_tree_matching_against_brute_force(monkeypatch):
+    """Weights and pairs against the plain recursion, with whole tables and with halved ones."""
+    import random
+    from functools import cache
+
+    from sherdflow.llm.op09_html import Matcher, Node, number
+
+    rng = random.Random(5)
+
+    def tree(depth):
+        x = Node(rng.choice("abc"), "open")
+        if depth and rng.random() < 0.8:
+            x.kids = [tree(depth - 1) for _ in range(rng.randrange(5))]
+        if not x.kids and rng.random() < 0.5:
+            x.label, x.text = "#text", rng.choice("xyz")
+        return x
+
+    @cache
+    def plain(a, b):
+        return 0 if a.label != b.label else 1 + best(a.kids, b.kids, plain)
+
+    def best(p, q, weight):
+        rows = [[0] * (len(q) + 1) for _ in range(len(p) + 1)]
+        for i, x in enumerate(p):
+            for j, y in enumerate(q):
+                rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + weight(x, y))
+        return rows[-1][-1]
+
+    def double(a, b):
+        return 2 * a.size if a.content == b.content else plain(a, b)
+
+    for cells in (1 << 20, 2):
+        monkeypatch.setattr(Matcher, "MAX_CELLS", cells)
+        for _ in range(150):
+            a, b = tree(4), tree(4)
+            b.label = a.label
+            number(a), number(b)
+            m = Matcher()
+            assert m.weight(a, b) == plain(a, b)
+            pairs = m(a, b)
+            assert len({x.order for x, _ in pairs}) == len({y.order for _, y in pairs}) == len(pairs)
+            of = {x.order: y for x, y in pairs}
+            for x, y in pairs:
+                got = [(k, of[k.order]) for k in x.kids if k.order in of]
+                assert [y.kids.index(m) for _, m in got] == sorted(y.kids.index(m) for _, m in got)
+                assert sum(double(k, m) for k, m in got) == best(x.kids, y.kids, double)
+
+
+def test_html_deep_and_wide():
+    import time
+
+    from sherdflow.llm.op09_html import HtmlText, Matcher, number, parse
+
+    began = time.time()
+    deep = lambda n, t: "<div>" * n + f"<p>{t}</p>" + "</div>" * n
+    wide = lambda n, t: "<body>" + "".join(f"<p>{t} {k}</p>" if k % 3 else f"<div><p>{t} {k}</p><i>x</i></div>" for k in range(n)) + "</body>"
+    lists = lambda n: "<body>" + "".join("<ul>" + "<li>x" * (k % 7) + "</ul>" for k in range(n)) + "</body>"
+    for a, b, least in ((deep(5000, "a"), deep(5000, "b"), 5002), (deep(5000, "a"), deep(4000, "b"), 4001), (wide(20_000, "a"), wide(19_000, "b"), 19_000), (lists(1000), lists(900), 900)):
+        x, y = parse(a), parse(b)
+        number(x), number(y)
+        assert len(Matcher()(x, y)) >= least
+        assert HtmlText().text(a) != ""
+    assert time.time() - began < 60
+
+
+def test_html_by_alignment_alone(spark):
+    """Pages without main tags, roles and class words: only the other pages of the host tell the article."""
+    from sherdflow.llm.op09_html import HtmlText
+
+    page = "<html><body><div><ul>{nav}</ul></div><div>Buy {k} now</div><div><h1>Head {k}</h1>{body}</div><div>&copy; house {k}</div></body></html>"
+    rows = []
+    for k in range(9):
+        body = "".join(f"<p>Paragraph {j} of text {k}, long enough to be read." for j in range(1 + k % 4))
+        rows.append((k, "http://one.org/x", page.format(k=k, body=body, nav="".join(f"<li><a href=/>link {k} {j}</a></li>" for j in range(3 + k % 2)))))
+    got = {r["key"]: r["text"] for r in HtmlText()(spark.createDataFrame(rows, "k long, url string, html string"), "k", "url", "html").collect()}
+    assert got == {k: " ".join([f"Head {k}", *(f"Paragraph {j} of text {k}, long enough to be read." for j in range(1 + k % 4))]) for k in range(9)}
