@@ -38,7 +38,7 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +65,7 @@ BOILER_NAMES = frozenset(
     "cookie cookies consent notice notices gdpr popup modal overlay comment comments disqus respond replies share sharing social related recommended newsletter subscribe subscription signup login pagination pager widget toolbar skip".split()
 )
 MAIN_TAGS = frozenset(["article", "main"])
+MEANT = BOILER_TAGS | MAIN_TAGS | {"header"}
 #: elements that hold others, and elements that are text
 CONTAINERS = frozenset("#root html body div section article main center table tbody tr td".split())
 TEXT_BLOCKS = frozenset("#text p h1 h2 h3 h4 h5 h6 blockquote pre".split())
@@ -83,6 +84,8 @@ class Node:
 
 def _kind(tag: str, attrs: str, inside: str) -> str:
     """boiler (by itself), main (by itself or one above) or open, from an element's meaning."""
+    if not attrs and tag not in MEANT:
+        return "main" if inside == "main" else "open"
     a = {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(attrs)} if "=" in attrs else {}
     if tag in BOILER_TAGS:
         return "boiler"
@@ -219,6 +222,7 @@ class Matcher:
     """Simple tree matching of two numbered trees."""
 
     MAX_CELLS = 4 << 20
+    MEMORY = 100_000
 
     def __init__(self):
         self.known: dict[tuple[int, int], int] = {}  # weights of pairs of shapes
@@ -323,11 +327,16 @@ class Matcher:
 
     def __call__(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
         """Pairs of the mapping, parents before children."""
+        if len(self.known) > self.MEMORY:
+            self.known.clear()
         pairs, stack = [], [(a, b)] if a.label == b.label else []
         while stack:
             x, y = stack.pop()
             pairs.append((x, y))
-            stack += self.siblings(x.kids, y.kids)
+            if len(x.kids) == len(y.kids) == 1:
+                stack += zip(x.kids, y.kids) if x.kids[0].label == y.kids[0].label else ()
+            elif x.kids and y.kids:
+                stack += self.siblings(x.kids, y.kids)
         return pairs
 
 
@@ -368,6 +377,7 @@ class Wrapper:
     nodes: list[Node]
     slot: int | None = None
     template: frozenset = frozenset()
+    match: Matcher = field(default_factory=Matcher)
 
 
 class _Wrappers:
@@ -402,7 +412,7 @@ class HtmlText:
         nodes = number(parse(page))
         constant: set[int] = set()
         if wrapper is not None:
-            pairs = Matcher()(wrapper.nodes[0], nodes[0])
+            pairs = wrapper.match(wrapper.nodes[0], nodes[0])
             constant = {y.order for x, y in pairs if x.order in wrapper.template and x.text == y.text}
             slot = next((y for x, y in pairs if x.order == wrapper.slot), None)
             if slot is not None:
@@ -424,7 +434,7 @@ class HtmlText:
         counts, plain characters."""
         nodes = number(root)
         chars = plain_chars(nodes)
-        pairs = Matcher()(known.nodes[0], root)
+        pairs = known.match(known.nodes[0], root)
         block = largest_block(nodes, chars)
         inside = range(block.order, block.order + block.size)
         full = sum(len(nodes[i].text) for i in inside)
