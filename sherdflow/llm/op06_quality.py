@@ -1,13 +1,18 @@
 """Quality rules with line sequence labelling.
 
 Counts decide first (too few words, too many words in repeated windows). What passes is labelled line by line, as
-content or boilerplate, by Viterbi decoding of a linear-chain conditional random field over shape features of lines;
-a document is kept if enough of its words stand in content lines.
+content or boilerplate, by Viterbi decoding of a linear-chain conditional random field over features of lines; a
+document is kept if its words' share in content lines reaches a threshold.
 
-The field is trained here on a bounded sample of labelled documents (max_docs), with all their lines: there
-are no labels of lines, so a line's training label is its document's quality. Every document is decoded whole.
+The field is trained on a bounded sample of labelled documents (max_docs) that pass the counts, with all their lines. Labels of documents
+are constraints on the hidden labels of lines: in a good document every line is content but those known to repeat;
+in a bad one more than half of the words are boilerplate, and which lines bear them is found in turns of fitting (at
+first without transitions) and constrained decoding. Lines of three words or more that stand in three sampled
+documents or more, each time between other neighbours, are known boilerplate, and being one is a feature. The
+threshold is where the sampled documents' shares part good from bad with the least sum of error rates. Every document
+is decoded whole.
 
-Repeated windows are found by 64-bit hashes within a document; lines are compared as text.
+Repeated windows and known lines are found by 64-bit hashes; repeated lines in a document are compared as text.
 
 Cases: null or empty text: no words, base_failed, not kept; lines without words are labelled but weigh nothing; long
 texts are read whole; ties and repeated rows: every row alone; no labels or labels of one kind only: every line is
@@ -25,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._io import table
-from ._text import SPACE, Chunk, batches, chunks, mix
+from ._text import SPACE, Chunk, batches, chunks, mix, prefix_hash, span_hash
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -40,7 +45,7 @@ def _of(chars: bytes) -> np.ndarray:
 
 
 UPPER, DIGIT, MARK, STOP = _of(bytes(range(65, 91))), _of(b"0123456789"), _of(b"!?"), _of(b".!?:;")
-N_FEATURES = 11
+N_FEATURES = 12
 
 
 @dataclass
@@ -50,17 +55,20 @@ class Counts:
     base: dict[str, np.ndarray]
     features: np.ndarray
     line_words: np.ndarray
+    line_hash: np.ndarray
     lines: np.ndarray
 
 
-def measure(c: Chunk, window: int = 8) -> Counts:
+def measure(c: Chunk, known: np.ndarray | None = None, window: int = 8) -> Counts:
+    """known: sorted hashes of lines known as boilerplate."""
     n_docs, buf = c.n_docs, c.buf
     total = lambda mask: np.concatenate([[0], np.cumsum(mask)])
     char = total(~CONTINUED[buf] & ~SPACE[buf])
     symbol = total(SYMBOL[buf])
 
     # words in windows that stand twice or more in their document
-    h, doc = c.word_hashes(), c.doc_of_word()
+    prefix = prefix_hash(buf)
+    h, doc = span_hash(prefix, c.starts, c.ends), c.doc_of_word()
     n = len(h)
     cover = np.zeros(n + 1, np.int64)
     if n >= window:
@@ -86,6 +94,10 @@ def measure(c: Chunk, window: int = 8) -> Counts:
     lines = np.searchsorted(doc_of_line, np.arange(n_docs + 1))
     first, last = np.searchsorted(c.starts, lo), np.searchsorted(c.starts, hi)
     words = last - first
+    line_hash = span_hash(prefix, lo, hi)
+    told = np.zeros(len(lo), bool)
+    if known is not None and len(known):
+        told = known[np.minimum(np.searchsorted(known, line_hash), len(known) - 1)] == line_hash
     raw = buf.tobytes()
     again = np.zeros(len(lo), bool)
     seen: set[bytes] = set()
@@ -116,10 +128,11 @@ def measure(c: Chunk, window: int = 8) -> Counts:
         again,
         end,
         words <= 3,
+        told,
     ]).astype(float)
     dup = np.bincount(doc_of_line[again], minlength=n_docs)
     base = {"n_words": np.diff(c.words), "word_chars": np.diff(char[c.off]), "n_symbols": np.diff(symbol[c.off]), "n_dup_lines": dup, "n_repeat_words": np.diff(repeated[c.words])}
-    return Counts(base, x, words, lines)
+    return Counts(base, x, words, line_hash, lines)
 
 
 @dataclass
@@ -131,39 +144,40 @@ class LineField:
     begin: np.ndarray
 
     @classmethod
-    def fit(cls, docs: list[np.ndarray], y: np.ndarray, rounds: int = 150) -> LineField:
-        """docs: features of lines; y: the state of all lines of each. Adam on the penalised log-likelihood."""
+    def fit(cls, docs: list[np.ndarray], states: list[np.ndarray], rounds: int = 120, chain: bool = True, start: LineField | None = None) -> LineField:
+        """docs: features of lines; states: of each line. Adam on the penalised log-likelihood; chain: with transitions."""
         n = len(docs)
         order = np.argsort([len(d) for d in docs], kind="stable")
         padded, first = [], 0
         for i in range(1, n + 1):  # padded to at most twice the shortest of a batch
             if i == n or len(docs[order[i]]) > 2 * len(docs[order[first]]):
-                padded.append(cls._padded([docs[j] for j in order[first:i]], y[order[first:i]]))
+                padded.append(cls._padded([docs[j] for j in order[first:i]], [states[j] for j in order[first:i]]))
                 first = i
         want = sum(cls._wanted(*x) for x in padded)
-        theta = np.zeros(N_FEATURES * 2 + 6)
+        theta = np.zeros(N_FEATURES * 2 + 6) if start is None else np.concatenate([start.weights.ravel(), start.step.ravel(), start.begin])
+        free = np.ones_like(theta)
+        free[N_FEATURES * 2 :] = chain
         m = v = np.zeros_like(theta)
         for r in range(1, rounds + 1):
             f = cls._of(theta)
             have = sum(cls._expected(f, X, mask) for X, mask, _ in padded)
-            grad = (want - have) / n - 1e-4 * theta
+            grad = ((want - have) / n - 1e-3 * theta) * free
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             theta = theta + 0.1 * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
         return cls._of(theta)
 
     @staticmethod
-    def _padded(docs: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _padded(docs: list[np.ndarray], states: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         T, n = max(map(len, docs)), len(docs)
-        X, mask = np.zeros((n, T, N_FEATURES)), np.zeros((n, T))
-        for i, d in enumerate(docs):
+        X, mask, gold = np.zeros((n, T, N_FEATURES)), np.zeros((n, T)), np.zeros((n, T, 2))
+        for i, (d, y) in enumerate(zip(docs, states)):
             X[i, : len(d)], mask[i, : len(d)] = d, 1
-        gold = np.zeros((n, 2))
-        gold[np.arange(n), y] = 1
+            gold[i, np.arange(len(d)), y] = 1
         return X, mask, gold
 
     @staticmethod
     def _wanted(X: np.ndarray, mask: np.ndarray, gold: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.einsum("ntf,nt,ns->fs", X, mask, gold).ravel(), np.diag(gold.T @ mask[:, 1:].sum(1)).ravel(), gold.sum(0)])
+        return np.concatenate([np.einsum("ntf,nts->fs", X, gold).ravel(), np.einsum("ntr,nts->rs", gold[:, :-1], gold[:, 1:]).ravel(), gold[:, 0].sum(0)])
 
     @staticmethod
     def _expected(f: LineField, X: np.ndarray, mask: np.ndarray) -> np.ndarray:
@@ -213,6 +227,8 @@ class Quality:
     max_repeat_percent: int = 30
     min_content: float = 0.5
     max_docs: int = 1500
+    turns: int = 2
+    known: np.ndarray | None = None  # sorted hashes of lines
 
     def trained(self, df: DataFrame, key: str, text: str, labels: DataFrame) -> Quality:
         """labels: (key, quality 0 or 1)."""
@@ -227,14 +243,61 @@ class Quality:
             for b in it:
                 for c in chunks(b.column(1)):
                     m = measure(c)
-                    x = [m.features[s:e].astype(np.float32).tobytes() for s, e in zip(m.lines[:-1], m.lines[1:])]
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n_docs), b.column(2).slice(c.first, c.n_docs).cast(pa.int64()), pa.array(x, pa.binary())], ["key", "quality", "x"])
+                    part = lambda x: pa.array([x[s:e].tobytes() for s, e in zip(m.lines[:-1], m.lines[1:])], pa.binary())  # noqa: B023, E731
+                    cols = [part(m.features.astype(np.float32)), part(m.line_words.astype(np.int32)), part(m.line_hash)]
+                    out = pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n_docs), b.column(2).slice(c.first, c.n_docs).cast(pa.int64()), *cols], ["key", "quality", "x", "words", "lines"])
+                    yield out.filter(pa.array(~self.failed(m)))
 
-        got = two.select("key", "text", "quality").mapInArrow(rows, "key long, quality long, x binary").toPandas().sort_values(["key", "x"])
+        got = two.select("key", "text", "quality").mapInArrow(rows, "key long, quality long, x binary, words binary, lines binary").toPandas().sort_values(["key", "x"])
         if got["quality"].nunique() < 2:
             return self
-        docs = [np.frombuffer(x, np.float32).reshape(-1, N_FEATURES) for x in got["x"]]
-        return Quality(LineField.fit(docs, 1 - got["quality"].to_numpy(int)), self.min_words, self.max_repeat_percent, self.min_content)
+        x = [np.frombuffer(v, np.float32).reshape(-1, N_FEATURES).copy() for v in got["x"]]
+        return self.learned(x, [np.frombuffer(v, np.int32) for v in got["words"]], [np.frombuffer(v, np.uint64) for v in got["lines"]], got["quality"].to_numpy(int) == 0)
+
+    def learned(self, x: list[np.ndarray], words: list[np.ndarray], lines: list[np.ndarray], bad: np.ndarray) -> Quality:
+        """From features, words and hashes of the lines of each document."""
+        between: dict[int, set] = {}
+        for h, w in zip(lines, words):
+            ends = np.concatenate([[0], h, [1]]).tolist()
+            for i in np.flatnonzero(w >= 3).tolist():
+                between.setdefault(ends[i + 1], set()).add((ends[i], ends[i + 2]))
+        known = np.array(sorted(h for h, x in between.items() if len({a for a, _ in x}) >= 3 and len({b for _, b in x}) >= 3), np.uint64)
+        for f, h in zip(x, lines):
+            f[:, -1] = np.isin(h, known)
+        states = [np.ones(len(f), int) if b else f[:, -1].astype(int) for f, b in zip(x, bad)]
+        field = LineField.fit(x, states, chain=False)
+        for turn in range(self.turns):
+            for i in np.flatnonzero(bad):
+                states[i] = self.constrained(field, x[i], words[i])
+            field = LineField.fit(x, states, start=field if turn else None)
+        share = np.array([self.content(field, f, w) for f, w in zip(x, words)])
+        cuts = np.unique(np.r_[share, 0.5])
+        cuts = np.append((cuts[1:] + cuts[:-1]) / 2, 0.5)
+        loss = [round((share[bad] >= c).mean() + (share[~bad] < c).mean(), 9) for c in cuts]
+        cut = min(zip(loss, abs(cuts - 0.5), cuts))[2]
+        return Quality(field, self.min_words, self.max_repeat_percent, float(cut), self.max_docs, self.turns, known)
+
+    def failed(self, m: Counts) -> np.ndarray:
+        """Documents of a chunk that the counts reject."""
+        n = m.base["n_words"]
+        return (n < self.min_words) | (100 * m.base["n_repeat_words"] > self.max_repeat_percent * n)
+
+    @staticmethod
+    def content(field: LineField, x: np.ndarray, words: np.ndarray) -> float:
+        """Share of words in content lines."""
+        n = words.sum()
+        return float(words[field.decode(x) == 0].sum() / n) if n else 1.0
+
+    @staticmethod
+    def constrained(field: LineField, x: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """States of a bad document: as decoded, and more boilerplate (what looks most like it) up to half of its words."""
+        state = field.decode(x)
+        score = x @ field.weights
+        for i in np.argsort(score[:, 0] - score[:, 1], kind="stable"):
+            if 2 * words[state == 1].sum() > words.sum():
+                break
+            state[i] = 1
+        return state
 
     SCHEMA = "key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
 
@@ -242,15 +305,13 @@ class Quality:
         names = [x.split()[0] for x in self.SCHEMA.split(", ")]
         for b in batches(it, 3000):
             for c in chunks(b.column(1)):
-                m = measure(c)
+                m = measure(c, self.known)
                 n = m.base["n_words"]
-                failed = (n < self.min_words) | (100 * m.base["n_repeat_words"] > self.max_repeat_percent * n)
+                failed = self.failed(m)
                 share = np.ones(c.n_docs)
                 if self.field is not None:
                     for i, (s, e) in enumerate(zip(m.lines[:-1].tolist(), m.lines[1:].tolist())):
-                        if n[i]:
-                            state = self.field.decode(m.features[s:e])
-                            share[i] = m.line_words[s:e][state == 0].sum() / n[i]
+                        share[i] = self.content(self.field, m.features[s:e], m.line_words[s:e])
                 kept = ~failed & (share >= self.min_content)
                 cols = [*(m.base[x] for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), failed, share, kept]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(c.first, c.n_docs), *map(pa.array, cols)], names)

@@ -348,8 +348,8 @@ def test_html(spark):
 def test_quality_learns_from_all_lines(spark):
     from sherdflow.llm.op06_quality import Quality
 
-    same = "a plain line of words that both kinds of text begin with\n" * 30
-    rows = [(k, same + (f"click here to buy now | {k}\n" if k % 2 else f"The river ran past {k} old mills and a bridge.\n") * 30) for k in range(40)]
+    same = "".join(f"a plain line {j} of words {j * j} that both kinds {j + k} of text begin with\n" for j in range(26) for k in [7 * j])
+    rows = [(k, same + "".join(f"click {j} here {k} to | buy {j * k} now | or {j} then | see {k} this | again {j}\n" if k % 2 else f"The river {j} ran past {k} old mills and {j * k} bridges of {j + k} towns.\n" for j in range(40))) for k in range(40)]
     df = spark.createDataFrame(rows, "k long, text string")
     labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "key long, quality int")
     field = Quality().trained(df, "k", "text", labels).field
@@ -520,3 +520,72 @@ def test_html_by_alignment_alone(spark):
         rows.append((k, "http://one.org/x", page.format(k=k, body=body, nav="".join(f"<li><a href=/>link {k} {j}</a></li>" for j in range(3 + k % 2)))))
     got = {r["key"]: r["text"] for r in HtmlText()(spark.createDataFrame(rows, "k long, url string, html string"), "k", "url", "html").collect()}
     assert got == {k: " ".join([f"Head {k}", *(f"Paragraph {j} of text {k}, long enough to be read." for j in range(1 + k % 4))]) for k in range(9)}
+
+
+def test_field_gradient_is_that_of_all_paths():
+    """Expected counts by forward and backward sums against every path; the likelihood's gradient is wanted - expected."""
+    import itertools
+
+    import numpy as np
+
+    from sherdflow.llm.op06_quality import N_FEATURES, LineField
+
+    rng = np.random.default_rng(4)
+    f = LineField(rng.normal(size=(N_FEATURES, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+    docs = [rng.normal(size=(n, N_FEATURES)) for n in (1, 3, 5)]
+    X, mask, _ = LineField._padded(docs, [np.zeros(len(d), int) for d in docs])
+    want = 0
+    for x in docs:
+        paths = list(itertools.product((0, 1), repeat=len(x)))
+        score = np.array([f.begin[p[0]] + sum(x[k] @ f.weights[:, v] for k, v in enumerate(p)) + sum(f.step[a, b] for a, b in zip(p, p[1:])) for p in paths])
+        for p, w in zip(paths, np.exp(score) / np.exp(score).sum()):
+            _, _, g = LineField._padded([x], [np.array(p)])
+            want = want + w * LineField._wanted(x[None], np.ones((1, len(x))), g)
+    assert np.allclose(LineField._expected(f, X, mask), want)
+
+
+def test_quality_labels_lines_inside_documents(spark):
+    """Lines whose kind is known: only labels of documents are given, most lines get their kind back."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sherdflow.llm._text import chunks
+    from sherdflow.llm.op06_quality import Quality, measure
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    prose = lambda: " ".join(word() for _ in range(12)).capitalize() + "."
+    menu = lambda: " | ".join(word() for _ in range(12))
+    rows, kinds = [], []
+    for k in range(200):
+        kind = [int(k % 2 and rng.random() < 0.75) for _ in range(12)]
+        if k % 2 and sum(kind) < 7:
+            kind = [1] * 7 + kind[7:]
+        rows.append((k, "\n".join(menu() if x else prose() for x in kind), 1 - k % 2))
+        kinds.append(kind)
+    df = spark.createDataFrame(rows, "k long, text string, quality int")
+    q = Quality().trained(df, "k", "text", df.where("k < 150").selectExpr("k key", "quality"))
+    wrong = mixed = n = 0
+    for c in chunks(pa.array([r[1] for r in rows[150:]])):
+        m = measure(c, q.known)
+        for i in range(c.n_docs):
+            got = q.field.decode(m.features[m.lines[i] : m.lines[i + 1]])
+            want = np.array(kinds[150 + c.first + i])
+            wrong, n, mixed = wrong + (got != want).sum(), n + len(want), mixed + (0 < got.sum() < len(got))
+    assert wrong <= 0.05 * n and mixed >= 15
+    got = {r["key"]: r for r in q(df, "k", "text").collect()}
+    assert all(got[k]["kept"] == (k % 2 == 0) for k in range(150, 200)) and any(0 < r["content_share"] < 1 for r in got.values())
+
+
+def test_known_lines_need_other_neighbours():
+    import numpy as np
+
+    from sherdflow.llm.op06_quality import N_FEATURES, Quality
+
+    rng = np.random.default_rng(0)
+    lines = [np.array([10 + 3 * k, 7, 11 + 3 * k], np.uint64) for k in range(8)] + [np.array([1000, 1001, 1002], np.uint64)] * 8
+    x = [rng.normal(size=(3, N_FEATURES)) for _ in lines]
+    q = Quality().learned(x, [np.full(3, 5)] * 16, lines, np.arange(16) % 2 == 0)
+    assert q.known.tolist() == [7]
