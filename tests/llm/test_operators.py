@@ -435,27 +435,84 @@ def test_base_spans_against_a_plain_scanner():
 
 def test_audio(docs, empty):
     import numpy as np
+    import pyarrow as pa
 
-    from sherdflow.llm.op08_audio import BLOCK, AudioFeatures, samples_of, tensor_array
+    from sherdflow.llm.op08_audio import BLOCK, TENSOR_FRAMES, AudioFeatures, samples_of, tensors_of
 
-    rows = AudioFeatures()(docs, "doc_id", "text").collect()
+    op = AudioFeatures()
+    rows = op(docs, "doc_id", "text").collect()
     assert len(rows) == len(TEXTS)
     for r in rows:
         back = samples_of(bytes(r["media"]))
         text = [t or "" for i, t, _ in TEXTS if i == r["key"]][0].encode()
         assert r["n_bytes"] == len(text) and back == text + b"\0" * (len(back) - len(text)) and len(back) % BLOCK == 0 and len(back)
-        a = tensor_array([t["values"] for t in r["tensors"]])
-        assert a.type.shape == [32, 32]
-        assert all(t["start_ms"] < t["end_ms"] for t in r["tensors"])
-    op = AudioFeatures(rate=16000, up=3, down=4)
-    x = np.sin(2 * np.pi * 440 * np.arange(16000) / 16000)
-    y = op.resample(x)
-    spec = np.abs(np.fft.rfft(y[200:-200]))
-    assert abs(np.argmax(spec) * 12000 / (len(y) - 400) - 440) < 5
-    loud = np.concatenate([np.zeros(8000), x[:8000] * 100, np.zeros(8000)]).astype(np.float32)
-    segs = AudioFeatures().segments(AudioFeatures().log_mel(loud))
-    assert len(segs) == 1
+        t = tensors_of(bytes(r["tensors"]))
+        assert t.schema.field("values").type == pa.fixed_shape_tensor(pa.float32(), [TENSOR_FRAMES, op.n_mels])
+        values = t["values"].combine_chunks().to_numpy_ndarray()
+        mel, segs = op.clip(bytes(r["media"]))
+        assert (values.reshape(-1, op.n_mels)[: len(mel)] == mel).all() and not values.reshape(-1, op.n_mels)[len(mel) :].any()
+        assert sum(t["frames"].to_pylist()) == len(mel) and sum(t["voiced"].to_pylist()) == int((segs[:, 1] - segs[:, 0]).sum())
+        starts, ends = t["start_ms"].to_pylist(), t["end_ms"].to_pylist()
+        assert starts[0] == 0 and all(s < e for s, e in zip(starts, ends))
     assert AudioFeatures()(empty, "doc_id", "text").count() == 0
+    spec = np.abs(np.fft.rfft(AudioFeatures(up=3, down=4).resample(np.sin(2 * np.pi * 440 * np.arange(16000) / 16000))[200:-200]))
+    assert abs(np.argmax(spec) * 12000 / (12000 - 400) - 440) < 5
+
+
+@pytest.mark.parametrize("up,down", [(5, 8), (1, 2), (3, 2), (7, 7)])
+def test_resampling_is_a_direct_convolution(up, down):
+    import numpy as np
+
+    from sherdflow.llm.op08_audio import AudioFeatures
+
+    op = AudioFeatures(up=up, down=down)
+    h = op.kernel.T.ravel()  # phases put together again
+    for n in (1, 64, 200, 333):
+        x = np.random.default_rng(n).normal(size=n)
+        y = op.resample(x)
+        assert len(y) == -(-n * up // down)
+        for m in range(len(y)):  # x stuffed with zeros, convolved, every down-th value; the filter's middle at the value itself
+            at = m * down + (op.taps // 2) * up
+            want = sum(h[k] * x[(at - k) // up] for k in range(len(h)) if (at - k) % up == 0 and 0 <= (at - k) // up < n)
+            assert y[m] == pytest.approx(want, abs=1e-9)
+
+
+def test_log_mel_and_segments_against_plain_loops():
+    import cmath
+    import math
+
+    import numpy as np
+
+    from sherdflow.llm.op08_audio import AudioFeatures
+
+    op = AudioFeatures(frame=32, hop=16, n_mels=6)
+    y = np.random.default_rng(0).normal(size=100)
+    got = op.log_mel(y)
+    top = 2595 * math.log10(1 + op.out_rate / 2 / 700)
+    edge = [700 * (10 ** (top * k / 7 / 2595) - 1) for k in range(8)]
+    assert len(got) == 6  # the last frame is filled with zeros
+    for i, row in enumerate(got):
+        f = [(y[i * 16 + k] if i * 16 + k < 100 else 0) * (0.5 - 0.5 * math.cos(2 * math.pi * k / 31)) for k in range(32)]
+        power = [abs(sum(v * cmath.exp(-2j * math.pi * b * k / 32) for k, v in enumerate(f))) ** 2 for b in range(17)]
+        for m in range(6):
+            a, c, z = edge[m : m + 3]
+            total = sum(p * max(0, min((b * op.out_rate / 32 - a) / (c - a), (z - b * op.out_rate / 32) / (z - c))) for b, p in enumerate(power))
+            assert row[m] == pytest.approx(math.log(total + 1e-6), abs=6e-4)
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        mel = np.repeat(rng.normal(0, 2, size=(40, 1)), 6, 1)
+        db = [10 * math.log10(sum(math.exp(v) for v in r) + 1e-9) for r in mel]
+        floor = np.percentile(db, 10)
+        want, first, reached = [], None, False
+        for i, v in enumerate([*db, -1e9]):
+            if v > floor + op.low_db:
+                first = i if first is None else first
+                reached |= v > floor + op.high_db
+            else:
+                if reached:
+                    want.append([first, i])
+                first, reached = None, False
+        assert op.segments(mel).tolist() == want
 
 
 PAGE = "<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><a href=x>{nav}</a></nav><div class='site-notice'>hidden note</div><div id=wrap><h1>Site &amp; Co</h1><div class=post>{body}</div><form>mail</form></div><footer>f</footer></body></html>"
