@@ -3,19 +3,26 @@
 A url is judged by the longest rule that fits; all others by two smoothed variable-order Markov models of characters,
 one of accepted and one of rejected urls. Probabilities of a symbol after 3, 2, 1 and 0 symbols are blended by
 Witten-Bell weights (a context counts as much as it was seen, less by how many different symbols followed it). The
-score is the log-likelihood difference divided by the number of symbols; the threshold is calibrated on labelled urls
-that the models have not seen (a quarter of them, by hash), where the sum of both error rates is least.
-
-Labelled urls are, as rejected, those whose host bears one of a few words that only spam bears, and as accepted all
-others that no rule blocks (a blocked country or section says nothing of characters). All of them count, whatever the
-input's size. Urls are read in an alphabet of 32 symbols (letters, one for
-digits, the common signs), so there are at most 2**20 grams of four: the models' table has that size bound and is
+score is the log-likelihood difference divided by the number of symbols; the threshold is calibrated on all labelled
+urls, where the sum of both error rates is least.
+
+Labelled urls: of each host the least url that no rule blocks is an accepted one (a blocked country or section says
+nothing of characters); a host counts once, so one with a third of all urls doesn't make its name a usual one. Each
+also gives VERSIONS rejected ones: itself with a name of a documented table of rejected names (NAMES, made by a rule)
+in the place of its own host's name; so both models see the same frames of scheme, domain and path, and what tells
+them apart is names. Rejected hosts that stand in the input are not labelled: they are found by their likeness to the
+table's names.
+
+Hosts are dealt into two folds by hash, names by place. A url is scored by the models that the other fold's labelled
+urls have taught, so none is judged by what its own host taught, and the threshold is calibrated on unseen urls. All
+hosts count, whatever the input's size. Urls are read in an alphabet of 32 symbols (letters, one for digits, the
+common signs), so there are at most 2**20 grams of four for each fold: the models' table has that size bound and is
 broadcast. Logarithms are kept as whole millionths, so that sums don't depend on their order.
 
 Only DataFrame functions are used.
 
 Cases: null url or one without "://": host and path empty, no rule; such a url is scored as the text it has (null: as
-empty) and an empty text scores 0; no labels of either kind: everything is allowed; long urls are scored whole; ties
+empty) and an empty text scores 0; no hosts to learn from in one of the folds: everything else is allowed; long urls are scored whole; ties
 and repeated rows: each row alone, equal urls get equal verdicts; empty table: empty result; extra columns: only the
 two named ones are read.
 """
@@ -35,12 +42,19 @@ ABOUT = "(?s)^.*?://([^/?#]*)([^?#]*).*$"
 
 #: (host and path, verdict)
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
-#: Words in hosts of rejected urls.
-SPAM_WORDS = ("casino", "pills", "bets", "spam", "adult", "porn", "viagra", "payday", "ads")
+#: Names of rejected hosts: every stem in every form.
+STEMS = ("casino", "poker", "bets", "slots", "lottery", "pills", "viagra", "pharma", "payday", "loans", "porn", "adult", "escort", "spam", "ads", "replica")
+FORMS = ("{}", "free-{}", "best-{}", "cheap-{}", "top-{}", "{}-online", "{}-club", "{}-now", "{}24")
+NAMES = tuple(form.format(stem) for stem in STEMS for form in FORMS)
+VERSIONS = 8
+FOLDS = 2
+#: what stands before a host's name, the name, the rest
+NAMED = r"(?s)^(.*?://(?:(?:www|m|blog)\.)?)([^./?#]+)(.*)$"
 
 #: Symbols 1-31; 0 stands before the first one.
 ALPHABET = LOWER + "0./-"
 GRAM = 4
+FOLD = 32**GRAM  # a gram's code is below; a fold's codes begin at a multiple of it
 
 
 def host_of(url: Column) -> Column:
@@ -61,7 +75,7 @@ def symbols(text: Column) -> Column:
 @dataclass
 class UrlFilter:
     rules: tuple = RULES
-    spam_words: tuple = SPAM_WORDS
+    names: tuple = NAMES
     seed: str = "calibrate"
 
     def rule_of(self, host: Column, path: Column) -> Column:
@@ -80,43 +94,57 @@ class UrlFilter:
         ruled = F.lit(None).cast("string")
         for rule, verdict in self.rules:
             ruled = F.when(F.col("rule") == rule, verdict).otherwise(ruled)
-        spam = F.col("host").rlike("(^|[^a-z])(" + "|".join(self.spam_words) + ")([^a-z]|$)")
-        label = F.when(spam, 1).when((F.col("host") != "") & (F.coalesce("ruled", F.lit("allow")) == "allow"), 0)
-        unseen = F.conv(F.substring(F.md5(F.concat(F.lit(self.seed), F.coalesce("url", F.lit("")))), 1, 2), 16, 10).cast("int") < 64
-        return rows.withColumn("ruled", ruled).withColumn("label", label).withColumn("unseen", unseen).withColumn("symbols", symbols(F.col("url")))
+        return rows.withColumn("ruled", ruled).withColumn("symbols", symbols(F.col("url"))).withColumn("fold", self.digits(1, 2) % FOLDS)
+
+    def digits(self, at: int, n: int) -> Column:
+        """A number from n hexadecimal digits of the host's hash."""
+        return F.conv(F.substring(F.md5(F.concat(F.lit(self.seed), "host")), at, n), 16, 10).cast("int")
+
+    def samples(self, rows: DataFrame) -> DataFrame:
+        """symbols, label (0 accepted, 1 rejected), fold."""
+        hosts = rows.where("host != '' and coalesce(ruled, 'allow') = 'allow'").groupBy("host", "fold").agg(F.min("url").alias("url"))
+        names = F.array(*(F.array(*map(F.lit, self.names[f::FOLDS])) for f in range(FOLDS)))[F.col("fold")]
+        pick = F.transform(F.sequence(F.lit(0), F.lit(VERSIONS - 1)), lambda v: F.get(names, (self.digits(3, 6) + 7 * v) % F.size(names)))
+        rejected = F.when(F.col("url").rlike(NAMED), F.transform(pick, lambda x: F.concat(F.regexp_extract("url", NAMED, 1), x, F.regexp_extract("url", NAMED, 3))))
+        urls = F.concat(F.array("url"), F.coalesce(rejected, F.array().cast("array<string>")))
+        out = hosts.select("fold", F.posexplode(urls).alias("at", "url"))
+        return out.select(symbols(F.col("url")).alias("symbols"), F.least("at", F.lit(1)).alias("label"), "fold")
 
     @staticmethod
     def grams(rows: DataFrame, *keep: str) -> DataFrame:
-        """A row for each symbol: code of it and the three before it, in base 32."""
+        """A row for each symbol: code of it and the three before it, in base 32, in the row's fold."""
         at = F.explode(F.sequence(F.lit(1), F.char_length("symbols")))
-        rows = rows.where("symbols != ''").select(*keep, F.concat(F.lit("^" * (GRAM - 1)), "symbols").alias("s"), at.alias("at"))
-        code = F.lit(0)
+        rows = rows.where("symbols != ''").select(*keep, "fold", F.concat(F.lit("^" * (GRAM - 1)), "symbols").alias("s"), at.alias("at"))
+        code = F.col("fold")
         for k in range(GRAM):
             place = F.expr(f"CASE substring(s, at + {k}, 1) WHEN '^' THEN 0 WHEN '~' THEN 31 ELSE locate(substring(s, at + {k}, 1), '{ALPHABET}') END")
             code = code * 32 + place
         return rows.select(*keep, code.cast("int").alias("code"))
 
-    def model(self, rows: DataFrame) -> DataFrame:
+    def model(self, rows: DataFrame, samples: DataFrame) -> DataFrame:
         """code, millionths: of every gram of four that occurs, the log-likelihood ratio, rejected over accepted."""
-        # all urls give the grams that a score is needed for; labelled ones that aren't held back give the counts
-        use = F.when(~F.col("unseen"), F.col("label"))
-        pre = rows.select("symbols", F.coalesce(use, F.lit(-1)).alias("use")).groupBy("symbols", "use").agg(F.count("*").alias("w"))
+        # all urls and samples give the grams that a score is needed for; the other folds' samples give the counts
+        needed = rows.select("symbols", "fold").unionByName(samples.select("symbols", "fold")).withColumn("use", F.lit(-1))
+        others = F.filter(F.sequence(F.lit(0), F.lit(FOLDS - 1)), lambda f: f != F.col("fold"))
+        taught = samples.select("symbols", F.explode(others).alias("fold"), F.col("label").alias("use"))
+        pre = needed.unionByName(taught).groupBy("symbols", "fold", "use").agg(F.count("*").alias("w"))
         got = self.grams(pre, "use", "w").groupBy("code").agg(*(F.sum(F.when(F.col("use") == k, F.col("w")).otherwise(0)).alias(f"n{k}") for k in (0, 1)))
         got = checkpoint(got)
         out = got.select("code")
+        part = lambda code, span: code - code % FOLD + code % span
         for k in (0, 1):
             level = got.select("code", F.col(f"n{k}").alias("n"))
             p = None  # table of (suffix of the gram, probability), from order 0 upwards
             for order in range(GRAM):
                 span = 32 ** (order + 1)
-                seen = level.groupBy((F.col("code") % span).alias("gram")).agg(F.sum("n").alias("n"))
+                seen = level.groupBy(part(F.col("code"), span).alias("gram")).agg(F.sum("n").alias("n"))
                 # the context of a gram: without its last symbol
                 context = W.partitionBy((F.col("gram") / 32).cast("int"))
                 seen = seen.withColumn("total", F.sum("n").over(context)).withColumn("kinds", F.sum((F.col("n") > 0).cast("long")).over(context))
                 if p is None:
                     lower = F.lit(1.0 / 32)
                 else:
-                    seen = seen.withColumn("shorter", F.col("gram") % (span // 32)).join(p.withColumnRenamed("gram", "shorter").withColumnRenamed("p", "low"), "shorter")
+                    seen = seen.withColumn("shorter", part(F.col("gram"), span // 32)).join(p.withColumnRenamed("gram", "shorter").withColumnRenamed("p", "low"), "shorter")
                     lower = F.col("low")
                 blend = F.when(F.col("total") == 0, lower).otherwise((F.col("n") + F.col("kinds") * lower) / (F.col("total") + F.col("kinds")))
                 p = seen.select("gram", blend.alias("p"))
@@ -124,15 +152,15 @@ class UrlFilter:
         return checkpoint(out.select("code", (F.col("l1") - F.col("l0")).alias("millionths")))
 
     def scored(self, rows: DataFrame, model: DataFrame, *keep: str) -> DataFrame:
-        """rows with `score`, whole millionths for each symbol (0 for empty texts)."""
-        rows = rows.select(*keep, "symbols").withColumn("row", F.monotonically_increasing_id())
-        # a url's grams come from one row of one task, so nearly all of this sum is done before the shuffle
-        sums = self.grams(rows, "row").join(F.broadcast(model), "code").groupBy("row").agg(F.sum("millionths").alias("sum"))
-        return rows.join(sums, "row", "left").withColumn("score", F.coalesce(F.floor(F.col("sum") / F.char_length("symbols")), F.lit(0))).drop("row", "sum", "symbols")
+        """rows with `score`, whole millionths for each symbol (0 for empty texts); equal texts are scored once."""
+        text = ["symbols", "fold"]
+        sums = self.grams(rows.select(text).distinct().withColumn("own", F.col("fold")), "symbols", "own").join(F.broadcast(model), "code")
+        sums = sums.groupBy("symbols", F.col("own").alias("fold")).agg(F.sum("millionths").alias("sum"))
+        return rows.select(*keep, *text).join(sums, text, "left").withColumn("score", F.coalesce(F.floor(F.col("sum") / F.char_length("symbols")), F.lit(0))).drop("sum", *text)
 
     def threshold(self, scored: DataFrame) -> int:
-        """The least score that is rejected: the one of least summed error rates on held-back labelled urls."""
-        bins = scored.where("unseen and label is not null").groupBy(F.greatest(F.lit(-4_000), F.least(F.lit(4_000), F.floor(F.col("score") / 1000))).alias("bin"))
+        """The least score that is rejected: the one of least summed error rates on labelled urls."""
+        bins = scored.groupBy(F.greatest(F.lit(-4_000), F.least(F.lit(4_000), F.floor(F.col("score") / 1000))).alias("bin"))
         bins = bins.agg(F.sum((F.col("label") == 1).cast("long")).alias("bad"), F.sum((F.col("label") == 0).cast("long")).alias("good"))
         below, every = W.orderBy("bin").rowsBetween(W.unboundedPreceding, -1), W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         missed = F.coalesce(F.sum("bad").over(below), F.lit(0)) / F.sum("bad").over(every)
@@ -143,13 +171,13 @@ class UrlFilter:
     def __call__(self, df: DataFrame, key: str, url: str) -> DataFrame:
         """key, host, path, rule, verdict, score of each row."""
         rows = self.parsed(df, key, url)
-        labelled = rows.where("label is not null")
-        have = labelled.groupBy("label", "unseen").count().count()
+        samples = checkpoint(self.samples(rows))
+        have = samples.select("label", "fold").distinct().count()
         plain = ["key", "host", "path", "rule"]
-        if have < 4:
+        if have < 2 * FOLDS:
             return rows.select(*plain, F.coalesce("ruled", F.lit("allow")).alias("verdict"), F.lit(0).cast("long").alias("score"))
-        model = self.model(rows)
-        cut = self.threshold(self.scored(labelled, model, "label", "unseen"))
+        model = self.model(rows, samples)
+        cut = self.threshold(self.scored(samples, model, "label"))
         out = self.scored(rows, model, *plain, "ruled")
         verdict = F.coalesce("ruled", F.when(F.lit(cut is not None) & (F.col("score") >= F.lit(cut or 0)), "block").otherwise("allow"))
         return out.select(*plain, verdict.alias("verdict"), "score")
