@@ -3,24 +3,37 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: a table of ids is broadcast up to this many rows (16 bytes each); beyond it the rows are joined by a shuffle
+BROADCAST_IDS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def beside(small: DataFrame) -> DataFrame:
+    """A table of ids, to be broadcast if it is small enough."""
+    return F.broadcast(small) if small.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else small
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage with files in the folder that the cluster names in spark.checkpoint.dir.
 
-    Only where that is unset (tests on one machine) a temporary folder is set.
+    Only on one machine (a local master) a temporary folder is set where that is unset; on a cluster it is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         at = spark.conf.get("spark.checkpoint.dir", None)
+        if not at and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(at or os.path.join(tempfile.gettempdir(), "sherdflow-checkpoints"))
     return df.checkpoint(eager=True)
 
@@ -41,6 +54,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def bytes_of(df: DataFrame) -> int:
+    """Spark's estimate of a plan's size (of files: from their sizes); 0 where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def name_beside(df: DataFrame, base: str) -> str:
     """A column name that df does not have (inputs may bring any extra columns)."""
     have = {c.lower() for c in df.columns}

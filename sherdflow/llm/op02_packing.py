@@ -28,10 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._io import partitions, table
+from ._io import bytes_of, partitions, table
 from ._text import batches, chunks
 
 END = 0  # the id after each document
+#: a range holds about so much of the input, as Spark estimates its size, or less
+RANGE_BYTES = 64 << 20
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -207,7 +209,7 @@ class Pack:
     def __call__(self, df: DataFrame, key: str, text: str) -> DataFrame:
         two = df.select(df[key].cast("long").alias("doc"), df[text].cast("string").alias("text"))
         keyed = two.mapInArrow((self.curve or Curve()).rows, "curve_key long, doc long, text string")
-        n = partitions(df.sparkSession)
+        n = max(partitions(df.sparkSession), bytes_of(two) // RANGE_BYTES)
         order = ["curve_key", "spread", "doc"]
         ranged = keyed.withColumn("spread", F.xxhash64("doc")).repartitionByRange(n, *order).sortWithinPartitions(*order)
         return ranged.select("curve_key", "doc", "text").mapInArrow(self.rows, self.schema())

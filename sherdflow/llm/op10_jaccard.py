@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 
 from ._graph import components
 from ._heavy import heavy, local_counts
-from ._io import checkpoint, partitions, table
+from ._io import beside, checkpoint, table
 from ._text import Chunk, batches, chunks, give_back, mix
 
-#: ids are broadcast to pick texts only up to this many (16 bytes each); beyond it the texts are joined by a shuffle
-BROADCAST_IDS = 500_000
+#: pairs of one document that are verified together, and postings of one bucket's smaller components in one part
+PART_PAIRS = 256
+PART_POSTS = 4_096
 _COMMON = np.uint64(255)
 #: a set's parity bitmap: bit i tells whether an odd number of its hashes fall on i
 BITS = [f"b{i}" for i in range(8)]
@@ -51,6 +52,7 @@ N_BITS = 64 * len(BITS)
 class JaccardJoin:
     shingle: int = 3
     percent: int = 90
+
     # --- shingles ---------------------------------------------------------------------------------------------
     def shingles(self, c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a lower-cased chunk: shingle hashes, the document of each, the place of its first word."""
@@ -170,10 +172,17 @@ class JaccardJoin:
             yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(u, keep) if k], pa.int64()), pa.array([x for x, k in zip(v, keep) if k], pa.int64())], ["u", "v"])
 
     def verified(self, rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The linked ones of pairs (u, v). Large sets are compared by their wide bitmaps before texts are fetched."""
+        """The linked ones of pairs (u, v). Large sets are compared by their wide bitmaps before texts are fetched.
+
+        A document with very many pairs meets them in parts, each with a copy of what is needed of it.
+        """
         pairs = checkpoint(pairs.distinct())
+        many = pairs.groupBy("u").agg(F.ceil(F.count("*") / PART_PAIRS).cast("int").alias("parts")).where("parts > 1")
+        part = F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).cast("int")
+        pairs = checkpoint(pairs.join(beside(checkpoint(many)), "u", "left").select("u", part.alias("part"), "v"))
+        parts = checkpoint(pairs.select("u", "part").distinct())
         a, b = (classes.select(F.col("rep").alias(x), F.struct("n", "wide").alias(y)) for x, y in (("u", "a"), ("v", "b")))
-        pairs = pairs.join(a, "u").join(b, "v")
+        full = pairs.join(b, "v").join(parts.join(a, "u"), ["u", "part"])
         # bitmaps of different lengths differ by a factor of two: a half of the longer is laid over the other
         half = lambda x, k: F.slice(x, F.floor(F.size(x) / 2).cast("int") * k + 1, F.floor(F.size(x) / 2).cast("int"))
         folded = lambda x: F.zip_with(half(x, 0), half(x, 1), lambda p, q: p.bitwiseXOR(q))
@@ -181,14 +190,14 @@ class JaccardJoin:
         x, y = F.when(F.size(x) > F.size(y), folded(x)).otherwise(x), F.when(F.size(y) > F.size(x), folded(y)).otherwise(y)
         apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0).cast("long"), lambda s, k: s + k)
         far = F.col("a.wide").isNotNull() & F.col("b.wide").isNotNull() & ((100 + self.percent) * apart > (100 - self.percent) * (F.col("a.n") + F.col("b.n")))
-        pairs = checkpoint(pairs.where(~far).select("u", "v"))
+        pairs = checkpoint(full.where(~far).select("u", "part", "v"))
+        parts = pairs.select("u", "part").distinct()
         ids = pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct()
-        many = ids.limit(BROADCAST_IDS + 1).count() > BROADCAST_IDS
-        texts = rows.join(ids if many else F.broadcast(ids), "doc", "left_semi")
+        texts = rows.join(beside(checkpoint(ids)), "doc", "left_semi")
         texts = texts.groupBy("doc").agg(F.max_by("text", "tie").alias("text"))
-        a = texts.select(F.col("doc").alias("u"), F.col("text").alias("tu"))
+        a = parts.join(texts.select(F.col("doc").alias("u"), F.col("text").alias("tu")), "u")
         b = texts.select(F.col("doc").alias("v"), F.col("text").alias("tv"))
-        full = pairs.join(b, "v").join(a, "u").select("u", "v", "tu", "tv")
+        full = pairs.join(b, "v").join(a, ["u", "part"]).select("u", "v", "tu", "tv")
         return full.mapInArrow(self.verify_rows, "u long, v long")
 
     # --- candidates -------------------------------------------------------------------------------------------
@@ -254,11 +263,15 @@ class JaccardJoin:
         wide_post = open_.unionByName(alone).distinct().join(of, "leader").join(bitmap, "rep").select("token", "rep", "n", "pos", "component", *BITS)
         wide_post = checkpoint(wide_post)
         sizes = wide_post.groupBy("token", "component").agg(F.count("*").alias("k"))
-        major = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("major"))
-        minor = wide_post.join(major, "token").where("component != major")
-        a, b = minor.alias("a"), wide_post.alias("b")
+        # the postings outside of a bucket's largest component come in parts, each with all the others beside it
+        rest = F.ceil((F.sum("k") - F.max("k")) / PART_POSTS).cast("int")
+        major = sizes.groupBy("token").agg(F.max_by("component", F.struct("k", "component")).alias("major"), rest.alias("parts"))
+        told = checkpoint(wide_post.join(major, "token"))
+        minor = told.where("component != major").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        a, b = minor.alias("a"), told.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
         ahead = F.expr("b.component = a.major or a.rep < b.rep")
-        cross = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component")) & ahead & self.may_link("a", "b"))
+        same = (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part"))
+        cross = a.join(b, same & (F.col("a.component") != F.col("b.component")) & ahead & self.may_link("a", "b"))
         cross = cross.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
         more = checkpoint(self.verified(rows, cross, classes))
         if more.limit(1).count():

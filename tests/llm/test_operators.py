@@ -99,12 +99,19 @@ def test_jaccard(docs, empty, shingle, percent):
     assert op(empty, "doc_id", "text").count() == 0
 
 
-def test_jaccard_families(spark):
-    """Families of edited copies, larger than a bucket's leader alone would join."""
+@pytest.mark.parametrize("parts", [None, 2])
+def test_jaccard_families(spark, monkeypatch, parts):
+    """Families of edited copies, larger than a bucket's leader alone would join; also with hot documents in parts."""
     import random
 
+    from sherdflow.llm import _graph, op10_jaccard
     from sherdflow.llm.op10_jaccard import JaccardJoin
 
+    if parts:
+        monkeypatch.setattr(op10_jaccard, "PART_PAIRS", parts)
+        monkeypatch.setattr(op10_jaccard, "PART_POSTS", parts)
+        monkeypatch.setattr(_graph, "HOT", parts)
+
     rng = random.Random(3)
     rows = []
     for f in range(6):
@@ -129,9 +136,14 @@ def test_jaccard_families(spark):
     assert [got[i] for i in range(len(rows))] == comp
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot,limit", [(1000, 500_000), (3, 500_000), (3, 0)])
+def test_components(spark, monkeypatch, hot, limit):
+    from sherdflow.llm import _graph
     from sherdflow.llm._graph import components
 
+    monkeypatch.setattr(_graph, "HOT", hot)
+    monkeypatch.setattr(_graph, "BROADCAST_IDS", limit)
+
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 130)] + [(7, 7), (200, 150)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 150: 150, 200: 150}
@@ -189,6 +201,17 @@ def test_hilbert_neighbours():
     assert (np.abs(np.diff(along, axis=0)).sum(1) == 1).all()
 
 
+def test_starts(spark, monkeypatch):
+    from sherdflow.llm import op04_mixing
+
+    monkeypatch.setattr(op04_mixing, "BLOCK", 4)
+    rows = [(s, k, (k * 7 + len(s or "")) % 11) for s in ("a", "b", None) for k in range(0, 30, 1 + len(s or ""))]
+    got = {(r["s"], r["k"]): r["start"] for r in op04_mixing.starts(spark.createDataFrame(rows, "s string, k long, v long"), "k", "v", "s").collect()}
+    assert got == {(s, k): sum(v for t, j, v in rows if t == s and j < k) for s, k, _ in rows}
+    got = {r["k"]: r["start"] for r in op04_mixing.starts(spark.createDataFrame([(k, v) for s, k, v in rows if s == "a"], "k long, v long"), "k", "v").collect()}
+    assert got == {k: sum(v for t, j, v in rows if t == "a" and j < k) for s, k, _ in rows if s == "a"}
+
+
 @pytest.mark.parametrize("packet", [2, None])
 def test_mixing(docs, empty, packet):
     from sherdflow.llm.op04_mixing import Mix, n_words
