@@ -5,12 +5,15 @@ stage's docs. All but the last return the columns of docs.
 
 1. toxicity: rows with a score of 0.5 or more go. Labels outside the held-out fifth teach the lexicon.
 2. near_duplicates: of documents linked by 80 % of their five-word shingles, the one with the smallest doc_id stays.
+   Rows of one doc_id with different texts are different documents (the one with the least text hash comes first);
+   rows without doc_id are documents by their text, last in order; of rows that agree in both, one stays (the one
+   whose other columns have the least hash).
 3. secrets: every secret's text is replaced by a mark of its kind; n_chars follows. No row goes.
 4. mixing: each document is repeated as often as the mix takes it, 0 to 2 times, always whole.
 5. packing: pieces of at most 1024 token ids, neighbours on the curve side by side.
 
-Cases: as the operators define them. Rows with a null doc_id pass stage 2 and count as one document in stage 4. Rows
-of one doc_id become one in stage 2. Extra columns pass through all stages but the last.
+Cases: as the operators define them. Rows with one doc_id (or none) that pass stage 2 are one document in stage 4 if
+they agree in source and size. Extra columns pass through all stages but the last.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sherdflow.llm._io import checkpoint, name_beside, small_batches, table
+from sherdflow.llm._io import beside, checkpoint, name_beside, small_batches, table
 from sherdflow.llm._text import batches, give_back
 from sherdflow.llm.op02_packing import Pack
 from sherdflow.llm.op04_mixing import Mix, n_words
@@ -30,13 +33,6 @@ from sherdflow.llm.op05_toxicity import trained
 from sherdflow.llm.op07_secrets import SecretScan
 from sherdflow.llm.op10_jaccard import JaccardJoin
 
-#: a table of ids is broadcast up to this many rows (16 bytes each), beyond it the rows are joined by a shuffle
-BROADCAST_IDS = 500_000
-
-
-def _beside(small: DataFrame) -> DataFrame:
-    return F.broadcast(small) if small.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else small
-
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
@@ -52,14 +48,31 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(rows, docs.schema)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that numbers the documents: the doc_id, or for further texts of one a number above all ids."""
+    node, text = name_beside(docs, "node"), F.xxhash64("text")
+    again = checkpoint(docs.groupBy("doc_id").agg(F.count("*").alias("k")).where("doc_id is null or k > 1"))
+    if not again.limit(1).count():
+        return docs.withColumn(node, F.col("doc_id").cast("long")), node
+    # of rows that agree in id and text one stays
+    several = docs.join(beside(again.select(F.col("doc_id").alias(node))), docs["doc_id"].eqNullSafe(F.col(node)), "left_semi")
+    single = docs.join(beside(again.select(F.col("doc_id").alias(node))), docs["doc_id"].eqNullSafe(F.col(node)), "left_anti")
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    kept = several.groupBy("doc_id", text.alias("hash")).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+    least = kept.groupBy("doc_id").agg(F.min("hash").alias("least")).withColumnRenamed("doc_id", node)
+    kept = kept.join(least, kept["doc_id"].eqNullSafe(least[node])).select("row", "hash", (F.col("row.doc_id").isNotNull() & (F.col("hash") == F.col("least"))).alias("own"))
+    kept = checkpoint(kept.orderBy(F.col("row.doc_id").asc_nulls_last(), "hash"))  # so that their numbers are in this order
+    above = (docs.agg(F.max("doc_id")).first()[0] or 0) + 1
+    number = F.when(F.col("own"), F.col("row.doc_id").cast("long")).otherwise(F.lit(above) + F.monotonically_increasing_id())
+    return single.withColumn(node, F.col("doc_id").cast("long")).unionByName(kept.select("row.*", number.alias(node))), node
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    of = JaccardJoin(shingle=5, percent=80)(docs, "doc_id", "text")
-    gone = checkpoint(of.where("doc != component_id").select(F.col("doc").alias("doc_id")).distinct())
-    left = docs.join(_beside(gone), "doc_id", "left_anti").select(docs.columns)
-    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
-    return left
+    rows, node = _numbered(docs)
+    of = JaccardJoin(shingle=5, percent=80)(rows, node, "text")
+    gone = checkpoint(of.where("doc != component_id").select(F.col("doc").alias(node)))
+    return rows.join(beside(gone), node, "left_anti").select(docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,7 +101,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = Mix(packet=None)(docs, "doc_id", "source", n_words(F.col("text")))
     id_, times = name_beside(docs, "mixed_id"), name_beside(docs, "times")
     taken = checkpoint(mixed.where("taken > 0").groupBy(F.col("key").alias(id_)).agg(F.max(F.expr("taken div size")).cast("int").alias(times)))
-    full = docs.join(_beside(taken), docs["doc_id"].eqNullSafe(F.col(id_)))
+    full = docs.join(beside(taken), docs["doc_id"].eqNullSafe(F.col(id_)))
     return full.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select([docs[c] for c in docs.columns])
 
 

@@ -8,8 +8,9 @@ The lexicon is learned from labelled rows: words and beginnings whose odds in to
 others, chosen greedily so that each must explain toxic texts that those before it don't (a word that merely stands
 in copies of one toxic text explains nothing new). A few common English insults are there from the start.
 The sample is bounded: about max_labelled labelled rows, and max_toxic toxic ones among them, picked by a hash of the
-id. Every row of the input is scored, over its whole text. The automaton is in each task; it has at most max_terms
-patterns.
+id. Terms are counted, weighed and sifted on the executors, with all words of the sampled texts; the driver gets, of
+each toxic text, those of the max_candidates weightiest terms that it has, and picks at most max_terms of them, which
+the automaton in each task holds. Every row of the input is scored, over its whole text.
 
 Cases: null or empty text: the score of a text without matches; long texts: whole, one pass; ties and repeated rows:
 equal texts have equal scores; a null key is returned and never held out; label rows repeated for one id: toxic if
@@ -22,7 +23,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -134,6 +135,7 @@ class Trainer:
     max_labelled: int = 20_000
     max_toxic: int = 4_000
     max_terms: int = 2_000
+    max_candidates: int = 10_000
     support: int = 3
     least_weight: float = 2.5
 
@@ -150,42 +152,63 @@ class Trainer:
 
     @staticmethod
     def word_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(set(WORD.findall(fold(t or "")))) for t in b.column(0).to_pylist()], pa.list_(pa.string()))], ["words"])
+        """The different words of each text, in order."""
+        for b in batches(it, 200):
+            words = [sorted(set(WORD.findall(fold(t or "")))) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), b.column(1).cast(pa.int64())], ["words", "toxic"])
 
     @staticmethod
-    def count_rows(wanted: frozenset):
-        def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            n: Counter = Counter()
-            for b in it:
-                for t in b.column(0).to_pylist():
-                    n.update(terms(set(WORD.findall(fold(t or "")))) & wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["term", "n"])
-
-        return rows
+    def count_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """term, how many toxic and other word sets have it (parts of the sums)."""
+        for b in batches(it, 200):
+            n: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+            for words, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for t in terms(set(words)):
+                    n[t][toxic] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), *(pa.array([v[k] for v in n.values()], pa.int64()) for k in (0, 1))], ["term", "clean", "toxic"])
 
     def fit(self, df: DataFrame, key: str, text: str, labels: DataFrame) -> Lexicon:
         sample = self.sample(df, key, text, labels)
         first = dict.fromkeys(FIRST_LEXICON, FIRST_WEIGHT)
-        size = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+        # toxic texts of the same words count once, as copies say nothing new
+        sets = sample.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(self.word_rows, "words array<string>, toxic long")
+        sets = checkpoint(sets.where("toxic = 1").distinct().unionByName(sets.where("toxic = 0")))
+        size = {r["toxic"]: r["count"] for r in sets.groupBy("toxic").count().collect()}
         if not size.get(0) or not size.get(1):
             return Lexicon(first)
-        rows = sample.where("toxic = 1").select("text").mapInArrow(self.word_rows, "words array<string>").distinct().toArrow()
+        n_toxic, n_clean = size[1], size[0]
+        counts = sets.mapInArrow(self.count_rows, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        weight = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+        counts = counts.withColumn("weight", F.round(weight, 9)).where((F.col("toxic") >= self.support) | F.col("term").isin(*FIRST_LEXICON))
+        told = (F.col("weight") >= self.least_weight) & (F.col("toxic") >= 4 * F.col("clean")) & (F.col("toxic") >= self.support)
+        counts = checkpoint(counts.where(told | F.col("term").isin(*FIRST_LEXICON)).withColumn("told", told))
+        known = {r["term"]: (r["toxic"], r["clean"], r["weight"]) for r in counts.where(F.col("term").isin(*FIRST_LEXICON)).collect()}
+        best = counts.where("told").orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(self.max_candidates)
+        weights = {r["term"]: r["weight"] for r in best.collect()}
+        wanted = frozenset(weights) | frozenset(t for t in FIRST_LEXICON)
+
+        def held(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches(it, 200):
+                found = [sorted(terms(set(w)) & wanted) for w in b.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["found"])
+
         holders: dict[str, list[int]] = defaultdict(list)
-        for i, words in enumerate(sorted(rows.column("words").to_pylist())):
-            for t in terms(set(words)):
+        for i, row in enumerate(sorted(r["found"] for r in sets.where("toxic = 1").mapInArrow(held, "found array<string>").collect())):
+            for t in row:
                 holders[t].append(i)
-        n_toxic, n_clean = len(rows), size[0]
-        holders = {t: d for t, d in holders.items() if len(d) >= self.support}
-        counts = sample.where("toxic = 0").select("text").mapInArrow(self.count_rows(frozenset(holders) | set(FIRST_LEXICON)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        clean = {r["term"]: r["n"] for r in counts.collect()}
-
-        def weight(t: str) -> float:
-            return math.log((len(holders.get(t, ())) + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1))
-
-        chosen = {t: min(8.0, max(FIRST_WEIGHT, weight(t)) if t in holders else FIRST_WEIGHT) for t in first if t not in holders and not clean.get(t) or t in holders and weight(t) > 0}
-        told = set().union(*(holders.get(t, ()) for t in chosen)) if chosen else set()
-        heap = [(-len(d) * w, t, w) for t, d in holders.items() if t not in chosen and (w := weight(t)) >= self.least_weight and len(d) >= 4 * clean.get(t, 0)]
+        return self.chosen(first, known, weights, holders, sample)
+
+    def chosen(self, first: dict, known: dict, weights: dict, holders: dict, sample: DataFrame) -> Lexicon:
+        """known: counts in toxic and other texts, and weights, of the first lexicon's words; holders: toxic texts by term."""
+        chosen = {}
+        for t in first:
+            toxic, clean, w = known.get(t, (0, 0, 0.0))
+            if toxic >= self.support and w > 0:
+                chosen[t] = min(8.0, max(FIRST_WEIGHT, w))
+            elif toxic < self.support and not clean:
+                chosen[t] = FIRST_WEIGHT
+        told = {i for t in chosen for i in holders.get(t, ())}
+        heap = [(-len(holders[t]) * w, t, w) for t, w in weights.items() if t not in chosen]
         heapq.heapify(heap)
         while heap and len(chosen) < self.max_terms:
             gain, t, w = heapq.heappop(heap)

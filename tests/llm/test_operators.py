@@ -264,6 +264,56 @@ def test_toxicity(spark, docs, empty):
     assert none.score(*none.features("you idiot, you moron")) >= 0.5
 
 
+def test_lexicon_matches_against_a_plain_scan():
+    import random
+
+    from sherdflow.llm.op05_toxicity import EXCEPTIONS, Lexicon, fold
+
+    weights = {"trash": 3.0, "clown": 2.5, "tras*": 1.0, "idio*": 4.0, "idiot": 5.0, "loser": 2.0, "vex": 3.5}
+    lexicon = Lexicon(weights)
+
+    def plain(text):
+        spared = [(i, i + len(p)) for p in map(fold, EXCEPTIONS) for i in range(len(text)) if text.startswith(p, i) and not (i and text[i - 1].isalnum()) and not text[i + len(p) : i + len(p) + 1].isalnum()]
+        out = []
+        for i in range(len(text)):
+            if i and text[i - 1].isalnum():
+                continue
+            best = None
+            for t, w in weights.items():
+                word = t.rstrip("*")
+                end = i + len(word)
+                if text.startswith(word, i) and (t.endswith("*") or not text[end : end + 1].isalnum()) and (best is None or w > best[1]):
+                    best = end, w
+            if best and not any(a <= i and best[0] <= b for a, b in spared):
+                out.append((i, *best))
+        return out
+
+    rng = random.Random(1)
+    bits = ["trash", "can", "class", "clown", "fish", "idiot", "idiocy", "sore", "loser", "vex", "x", " ", " ", " ", "-", "1", "\n"]
+    for _ in range(2000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 16)))
+        total, found = lexicon.matches(text)
+        assert sorted(found) == plain(text) and total == pytest.approx(sum(w for *_, w in found))
+
+
+def test_lexicon_weights_by_hand(spark):
+    """Counts of terms in different toxic and in other texts, and the chosen weights, by plain loops."""
+    import math
+
+    from sherdflow.llm.op05_toxicity import Trainer
+
+    rows = [(k, f"w{k % 7} plain day n{k} " + ("vexbrute zorkish" if k % 5 == 0 else ""), int(k % 5 == 0)) for k in range(100)] + [(200, "w0 zorkish", 0), (201, "vexbrute vexbrute", 1), (202, "vexbrute", 1)]
+    df = spark.createDataFrame(rows, "k long, text string, toxic int")
+    lexicon = Trainer().fit(df, "k", "text", df.selectExpr("k key", "toxic"))
+    toxic = {frozenset(t.split()) for _, t, x in rows if x}
+    clean = [set(t.split()) for _, t, x in rows if not x]
+    weight = lambda t: math.log((sum(t in s for s in toxic) + 0.5) / (len(toxic) + 1)) - math.log((sum(t in s for s in clean) + 0.5) / (len(clean) + 1))
+    learned = {t: w for t, w in lexicon.weights.items() if t.startswith(("vex", "zork"))}
+    assert learned and all(w == pytest.approx(min(8.0, weight("vexbrute")), abs=1e-6) for t, w in learned.items() if t.startswith("vex"))
+    x, y = lexicon.features("a vexbrute day")
+    assert (x, y) == (math.log1p(lexicon.matches("a vexbrute day")[0]), 100 * lexicon.matches("a vexbrute day")[0] / 3)
+
+
 def test_quality(spark, docs, empty):
     from sherdflow.llm.op06_quality import Quality
 

@@ -55,3 +55,19 @@ def test_run(spark, folder):
     import corpus_pipeline as P
 
     assert P.run(spark, folder[0]).count() > 0
+
+
+def test_repeated_ids(spark, tmp_path):
+    """Rows of one id, of none, and that agree: nothing but copies goes, and reruns agree; other columns may have any names."""
+    import corpus_pipeline as P
+
+    other = " ".join(f"other{k}" for k in range(30))
+    third = " ".join(f"third{k}" for k in range(30))
+    rows = [(1, BASE, "en", "a", 1, 5, "x"), (1, other, "en", "a", 1, 5, "x"), (1, other, "en", "a", 1, 5, "y"), (2, BASE, "en", "b", 1, 5, "x"), (None, third, "en", "b", 1, 5, "x"), (None, third, "en", "b", 1, 5, "x"), (None, BASE, "en", "b", 1, 5, "x"), (3, None, "en", "b", 1, 5, "x"), (3, "", "en", "b", 1, 5, "x"), (4, " ", "en", "b", 1, 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, node long, component_id string")
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    got = [Counter(tuple(r) for r in P.near_duplicates(spark, d, "").collect()) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1] and sum(got[0].values()) == 6
+    assert {(r[0], r[1]) for r in got[0]} == {(1, BASE), (1, other), (None, third), (3, None), (3, ""), (4, " ")}
+    assert P.near_duplicates(spark, docs.limit(0), "").count() == 0
