@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._io import BROADCAST_IDS, checkpoint
+from ._io import BROADCAST_IDS, checkpoint, tidy
 
 HOT = 1_000
 
@@ -20,8 +20,10 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """edges (u, v) with m of least (u, m, k: number of edges)."""
+def with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """n edges (u, v) with m of least (u, m, k: number of edges)."""
+    if n <= HOT:
+        return edges.join(least.drop("k"), "u")
     least = checkpoint(least)
     hot = least.where(F.col("k") > HOT)
     n = hot.limit(BROADCAST_IDS + 1).count()
@@ -38,12 +40,14 @@ def components(edges: DataFrame) -> DataFrame:
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"), F.count("*").alias("k"))
-        large = with_least(both, least).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = checkpoint(large)
-        small = with_least(large, large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")))
+        large = with_least(both, least, 2 * mark[0]).where("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = checkpoint(large) if 2 * mark[0] > HOT else large
+        small = with_least(large, large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k")), 2 * mark[0])
         small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         now, was = checkpoint(small.distinct()), mark
         mark = _mark(now)
+        del both, least, large, small
+        tidy(edges.sparkSession)
         if mark == was:
             break
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

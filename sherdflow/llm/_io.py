@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -50,6 +51,15 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, most)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files and checkpoints of steps that nothing refers to any more.
+
+    It does so when the driver collects garbage, which may be long after; jobs of many steps ask for it.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ._graph import components
 from ._heavy import heavy, local_counts
-from ._io import beside, checkpoint, table
+from ._io import beside, checkpoint, table, tidy
 from ._text import Chunk, batches, chunks, give_back, mix
 
 #: pairs of one document that are verified together, and postings of one bucket's smaller components in one part
@@ -249,7 +249,10 @@ class JaccardJoin:
         star = star.select(F.col("head").alias("u"), F.col("leader").alias("v")).unionByName(member.where("rep != leader").select(F.col("leader").alias("u"), F.col("rep").alias("v"))).distinct()
         a, b = (classes.select(F.col("rep").alias(x), F.struct("n", *BITS).alias(y)) for x, y in (("u", "a"), ("v", "b")))
         star = star.join(a, "u").join(b, "v").where(f"not {self.far_apart('a', 'b')}").select("u", "v")
+        tidy(df.sparkSession)
         links = checkpoint(self.verified(rows, star, classes))
+        del star, a, b
+        tidy(df.sparkSession)
         comp = components(links)
 
         # round 2: across components, in buckets that still hold several; groups are expanded to their members
@@ -273,7 +276,9 @@ class JaccardJoin:
         same = (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part"))
         cross = a.join(b, same & (F.col("a.component") != F.col("b.component")) & ahead & self.may_link("a", "b"))
         cross = cross.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
+        tidy(df.sparkSession)
         more = checkpoint(self.verified(rows, cross, classes))
+        del cross, a, b
         if more.limit(1).count():
             comp = components(links.unionByName(more))
         comp = checkpoint(comp)
