@@ -93,6 +93,11 @@ def line_hint(caption: Column, note: Column) -> Column:
     return F.concat_ws(" ", F.coalesce(caption, F.lit("")), F.coalesce(note, F.lit(""))).rlike(LINE_WORD)
 
 
+def trace_id(run: Column, thread_key: Column) -> Column:
+    """A UUID's shape from the hash of a run and a thread: the same in each attempt of a task."""
+    return F.regexp_replace(F.md5(F.concat_ws("|", run, thread_key)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+
+
 def plate_hint(caption: Column) -> Column:
     return F.coalesce(caption, F.lit("")).rlike(PLATE_WORD)
 

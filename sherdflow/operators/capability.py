@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..plans.materialize import materialized
 
 REPLAY = "replay_key string, response string"
 
 
 class Models(Protocol):
+    def classify(self, figs: DataFrame) -> DataFrame: ...
+    def confirm_text(self, texts: DataFrame) -> DataFrame: ...
     def diagnose(self, figs: DataFrame) -> DataFrame: ...
     def segment(self, figs: DataFrame, prompted: bool = False) -> DataFrame: ...
     def read(self, figs: DataFrame) -> tuple[DataFrame, DataFrame]: ...
@@ -79,16 +82,17 @@ class NoModels:
 
 
 def image_annotations(models: Models, figs: DataFrame) -> DataFrame:
-    """figure_id, ocr, scales, orientation (h where nothing else is known)."""
+    """figure_id, ocr, scales, orientation (the model's, if its annotations tell one; else h)."""
     seqs, scales = models.read(figs)
-    a = seqs.groupBy("figure_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("ocr"))
+    told = F.first("orientation", ignorenulls=True) if "orientation" in seqs.columns else F.lit(None).cast("string")
+    a = seqs.groupBy("figure_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("ocr"), told.alias("orientation"))
     b = scales.groupBy("figure_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "seq_ref"))), lambda x: F.struct(x["seq_ref"].alias("seq_ref"))).alias("scales"))
     out = figs.select("figure_id").join(a, "figure_id", "left").join(b, "figure_id", "left")
-    return out.select("figure_id", F.coalesce("ocr", F.array().cast("array<string>")).alias("ocr"), F.coalesce("scales", F.array().cast("array<struct<seq_ref:string>>")).alias("scales"), F.lit("h").alias("orientation"))
+    return out.select("figure_id", F.coalesce("ocr", F.array().cast("array<string>")).alias("ocr"), F.coalesce("scales", F.array().cast("array<struct<seq_ref:string>>")).alias("scales"), F.coalesce("orientation", F.lit("h")).alias("orientation"))
 
 
 def with_retries(call: Callable[[str], str], retryable: tuple = (TimeoutError, ConnectionError), tries: int = 3, qps: float = 0.0, sleep: Callable = time.sleep) -> Callable[[str], str]:
-    """call, at most tries times on errors that may pass, at most qps times a second (0: no limit)."""
+    """call, at most tries times on errors that may pass (by type, or as they say), at most qps times a second (0: no limit)."""
     last = [0.0]
 
     def guarded(request: str) -> str:
@@ -98,8 +102,8 @@ def with_retries(call: Callable[[str], str], retryable: tuple = (TimeoutError, C
                 last[0] = time.monotonic()
             try:
                 return call(request)
-            except retryable:
-                if k + 1 == tries:
+            except Exception as e:
+                if k + 1 == tries or not (isinstance(e, retryable) or getattr(e, "retryable", False)):
                     raise
                 sleep(min(0.5 * 2**k, 5.0))
         raise AssertionError
@@ -107,26 +111,33 @@ def with_retries(call: Callable[[str], str], retryable: tuple = (TimeoutError, C
     return guarded
 
 
-def call_model(requests: DataFrame, recorded: DataFrame, make_call: Callable[[], Callable[[str], str]], qps_per_task: float = 0.0) -> DataFrame:
+def call_model(requests: DataFrame, recorded: DataFrame, make_call: Callable[[], Callable[[str], str]], qps: float = 0.0, tasks: int = 1, log: str | None = None) -> DataFrame:
     """requests (service, operation, figure_id, iteration, request) with response, error and replayed.
 
-    Recorded answers are joined by key; only the others reach the model. An answer that fails for good is E1000.
+    Each key is asked once: recorded answers are joined, only the others reach the model, by `tasks` tasks that share
+    qps calls a second (0: no limit, and as many tasks as there are partitions). Answers are kept before anything is
+    made of them, so a lost executor doesn't ask again; with `log`, a table of recorded answers grows by them. An
+    error that stays keeps its own code, if it has one; else it is E1000.
     """
     keyed = requests.withColumn("replay_key", T.joined_key(F.col("service"), F.col("operation"), F.col("figure_id"), F.col("iteration")))
-    hits = keyed.join(recorded, "replay_key").select("replay_key", "response", F.lit(None).cast("string").alias("error"), F.lit(True).alias("replayed"))
+    known = recorded.groupBy("replay_key").agg(F.min("response").alias("response"))
+    hits = known.select("replay_key", "response", F.lit(None).cast("string").alias("error"), F.lit(True).alias("replayed"))
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        call = with_retries(make_call(), qps=qps_per_task)
+        call = with_retries(make_call(), qps=qps / tasks)
         for b in it:
             out = []
             for key, request in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 try:
                     out.append((key, call(request), None, False))
-                except Exception:
-                    out.append((key, None, "E1000", False))
+                except Exception as e:
+                    out.append((key, None, str(getattr(e, "code", "E1000")), False))
             cols = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.bool_())], ["replay_key", "response", "error", "replayed"])
 
-    misses = keyed.join(recorded.select("replay_key"), "replay_key", "left_anti").select("replay_key", "request")
-    live = misses.mapInArrow(rows, "replay_key string, response string, error string, replayed boolean")
+    misses = keyed.join(known.select("replay_key"), "replay_key", "left_anti").groupBy("replay_key").agg(F.min("request").alias("request"))
+    misses = misses.repartition(tasks, "replay_key") if qps else misses
+    live = materialized(misses.mapInArrow(rows, "replay_key string, response string, error string, replayed boolean"))
+    if log:
+        live.where("error is null").select("replay_key", "response").write.mode("append").parquet(log)
     return keyed.join(hits.unionByName(live), "replay_key")

@@ -55,11 +55,35 @@ def status_by_type(figs: DataFrame, statuses: tuple) -> DataFrame:
     return figs.groupBy("image_type").pivot("status", list(statuses)).count().na.fill(0)
 
 
-def corpus_totals(figs: DataFrame, pairs: DataFrame, violations: DataFrame) -> DataFrame:
-    """book, figures, pairs, violations; a last row (book null) sums all books."""
-    count = lambda df, name: df.groupBy("book").agg(F.count("*").alias(name))
-    per = count(figs, "figures").join(count(pairs, "pairs"), "book", "left").join(count(violations, "violations"), "book", "left").na.fill(0)
-    return per.rollup("book").agg(*(F.sum(c).alias(c) for c in ("figures", "pairs", "violations")))
+def corpus_totals(figs: DataFrame, pairs: DataFrame, violations: DataFrame, books: DataFrame | None = None) -> DataFrame:
+    """book, total, books, figures, pairs, violations, statuses (`status=count`, in order) of each book, and of all in
+    the row where total is true. A book counts if any of the tables names it (books: those without any figure)."""
+    none = F.lit(None).cast("string")
+    status = F.col("status") if "status" in figs.columns else none
+    row = lambda df, x, s: df.select("book", *(F.lit(int(c == x)).cast("long").alias(c) for c in ("figures", "pairs", "violations")), s.alias("status"))
+    rows = row(figs, "figures", status).unionByName(row(pairs, "pairs", none)).unionByName(row(violations, "violations", none))
+    if books is not None:
+        rows = rows.unionByName(row(books, "", none))
+    sums = [F.sum(c).alias(c) for c in ("figures", "pairs", "violations")]
+    per = rows.groupBy("book", "status").agg(*sums)
+    per = per.withColumn("books", F.lit(0).cast("long")).unionByName(per.groupBy("book").agg(*(F.lit(0).cast("long").alias(c) for c in ("figures", "pairs", "violations")), F.lit(1).cast("long").alias("books")).withColumn("status", none))
+    per = per.withColumn("total", F.explode(F.array(F.lit(False), F.lit(True)))).withColumn("book", F.when(~F.col("total"), F.col("book")))
+    per = per.groupBy("total", "book", "status").agg(F.sum("books").alias("books"), *sums)
+    told = F.array_sort(F.collect_list(F.when(F.col("status").isNotNull(), F.concat("status", F.lit("="), F.col("figures").cast("string")))))
+    return per.groupBy("book", "total").agg(F.sum("books").alias("books"), *sums, F.array_join(told, ",").alias("statuses"))
+
+
+def conformance_metrics(elements: DataFrame, associated: DataFrame) -> DataFrame:
+    """book and what its score is made of: figures, captions and notes as marked up, and as they were found."""
+    n = lambda x, name: F.sum(F.coalesce(x, F.lit(False)).cast("long")).alias(name)
+    fig, filled = F.col("tag") == "figure", lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    note = (F.col("tag") == "para") & (F.col("role") == "figure-note") & filled("text")
+    marked = elements.where("tag != '#error'").groupBy("book").agg(
+        n(fig, "nfig"), n(fig & filled("caption"), "cap_role"), n(note, "note"), n(fig & F.col("has_media"), "im"), n(fig & F.col("has_media") & filled("w") & filled("h"), "im_dims")
+    )
+    noted, titled = F.col("has_media") & F.col("figure_note").isNotNull(), F.col("has_media") & F.col("caption").isNotNull()
+    found = associated.groupBy("book").agg(n(noted, "rel_note"), n(titled, "rel_cap"), n(noted & titled, "both"), n(~F.col("has_media") | F.col("caption").isNull(), "viol"))
+    return marked.join(found, "book", "left").na.fill(0)
 
 
 def conformance(books: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, fields
 from pathlib import Path
 
@@ -32,23 +33,28 @@ class Flags:
 _PLACES = {"mask_iou_target": ("mask", "iou_target"), "max_iteration": ("loop", "max_iteration"), "no_improve_rounds": ("loop", "no_improve_rounds"), "pending_pause_ratio": ("review", "pending_pause_ratio"), "timeouts": ("capability", "timeouts"), "rate_limits": ("capability", "rate_limits"), "confidence": ("confidence", None)}
 
 
+#: blank, or a key with a scalar or nothing behind it; no lists, flow collections, anchors, tags, block texts or escapes
+LINE = re.compile(r"""(?:---)?\s*(?:\#.*)?$|(?P<indent>\ *)(?P<key>[\w.-]+|"[^"\\]*"|'[^']*')\ *:(?:\ +(?P<value>"[^"\\]*"|'[^']*'|[^\s"'\[{&*!|>%@`#-][^#]*?|-?[\d.][^#]*?))?(?:\s+\#.*)?\s*$""", re.X)
+
+
 def read_yaml(path: str | Path) -> dict:
-    """A YAML file of nested mappings and scalars; {} if there is none."""
+    """A YAML file of nested mappings and plain or quoted scalars; {} if there is none. Anything else is an error."""
     path = Path(path)
     if not path.exists():
         return {}
     out: dict = {}
     stack: list[tuple[int, dict]] = [(-1, out)]
     for line in path.read_text("utf-8").splitlines():
-        body = line.split(" #")[0].rstrip()
-        if not body.strip() or body.lstrip().startswith("#"):
+        found = LINE.match(line)
+        if not found:
+            raise ValueError(f"{path}: not a mapping of scalars: {line!r}")
+        if found["key"] is None:
             continue
-        depth = len(body) - len(body.lstrip())
-        key, _, value = body.strip().partition(":")
+        depth, key, value = len(found["indent"]), found["key"].strip("\"'"), found["value"] or ""
         while stack[-1][0] >= depth:
             stack.pop()
         if value.strip():
-            stack[-1][1][key] = _scalar(value.strip())
+            stack[-1][1][key] = value[1:-1] if value[0] in "\"'" else _scalar(value.strip())
         else:
             stack[-1][1][key] = new = {}
             stack.append((depth, new))
@@ -56,7 +62,6 @@ def read_yaml(path: str | Path) -> dict:
 
 
 def _scalar(x: str):
-    x = x.strip("\"'")
     if x.lower() in ("true", "false", "null", "~"):
         return {"true": True, "false": False}.get(x.lower())
     for kind in (int, float):

@@ -12,7 +12,7 @@ SIDE = 96
 
 def images(spark: SparkSession, path: str) -> DataFrame:
     """origin, height, width, n_channels, data of readable images; others are dropped, not raised."""
-    df = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").load(path)
+    df = spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", PATTERN).load(path)
     return df.select("image.origin", "image.height", "image.width", F.col("image.nChannels").alias("n_channels"), "image.data")
 
 
@@ -36,3 +36,33 @@ def families(df: DataFrame) -> DataFrame:
     s = df.select("origin", pixel_stats(thumbnail(F.col("data"), F.col("height"), F.col("width"), F.col("n_channels"))).alias("s")).select("origin", "s.*")
     s = s.withColumn("family", family(F.col("mean"), F.col("pct"), F.col("mid")))
     return s.withColumn("confidence", family_confidence(F.col("family"), F.col("pct"), F.col("mid")))
+
+
+PATTERN = "*.{png,jpg,jpeg,gif,bmp,PNG,JPG,JPEG}"
+
+
+def any_images(spark: SparkSession, path: str) -> bool:
+    return not _files(spark, path).select("path").limit(1).isEmpty()
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", PATTERN).load(path)
+
+
+def _places(figs: DataFrame, reports: DataFrame) -> DataFrame:
+    """book, fileref, at of figures (book, fileref): a fileref is relative to its report's folder."""
+    folder = reports.select("book", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+    at = F.regexp_replace(F.concat("folder", F.lit("/"), "fileref"), "^file:/+", "/")
+    return figs.select("book", "fileref").distinct().join(folder, "book").select("book", "fileref", at.alias("at"))
+
+
+def contents(spark: SparkSession, path: str, figs: DataFrame, reports: DataFrame) -> DataFrame:
+    """book, fileref, content of figures' images."""
+    files = _files(spark, path).select(F.regexp_replace("path", "^file:/+", "/").alias("at"), "content")
+    return _places(figs, reports).join(files, "at").select("book", "fileref", "content")
+
+
+def families_of(figs: DataFrame, reports: DataFrame, df: DataFrame) -> DataFrame:
+    """book, fileref, family of figures (book, fileref) whose image is among images(); reports: book, path of its file."""
+    told = families(df).select(F.regexp_replace("origin", "^file:/+", "/").alias("at"), "family")
+    return _places(figs, reports).join(told, "at").select("book", "fileref", "family")
