@@ -16,6 +16,7 @@ from ..operators import figures as G
 from ..operators import fuse as U
 from ..operators import review as R
 from . import derived as D
+from . import reports
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -181,26 +182,6 @@ def body_split(spark, d):
     return got.select("fig", "para_ord", "artifact_id", "text", F.get("markers", F.lit(0)).alias("marker"), "confidence")
 
 
-@query(
-    _with(D.ITEMS_SQL, D.PARAS_SQL)
-    + """, p AS (SELECT fig, art, name, row_number() OVER (PARTITION BY fig ORDER BY para_idx) AS n FROM paras WHERE part % 5 <> 0)
-    SELECT fig, art AS artifact_id, art || '，' || name || '。' AS text, CAST(CASE WHEN count(*) OVER (PARTITION BY fig) = 1 THEN 0.95 ELSE 0.8 END AS DOUBLE) AS confidence FROM p"""
-)
-def body_split_many(spark, d):
-    """One paragraph with all ids of a figure is cut at each."""
-    p = D.paras(spark, d).where("part % 5 != 0").groupBy("fig").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_idx", F.concat("art", F.lit("，"), "name", F.lit("。")).alias("t")))), lambda x: x["t"]), "").alias("text"))
-    got = N.split_body(p.withColumn("id", F.lit("p0")).withColumn("n", F.lit(0)), ["fig"], "n")
-    return got.select("fig", "artifact_id", "text", "confidence")
-
-
-@query(_with(D.ITEMS_SQL, D.PARAS_SQL) + "SELECT cust, art AS artifact_id, arg_max(text, para_idx) AS description_text FROM paras WHERE part % 5 <> 0 GROUP BY ALL")
-def descriptions(spark, d):
-    """The last text of an artifact wins."""
-    p = D.paras(spark, d).where("part % 5 != 0")
-    got = N.split_body(p, ["cust", "fig"], "para_idx")
-    return N.describe(got, ["cust"]).select("cust", "artifact_id", "description_text")
-
-
 @query(
     _with(D.ITEMS_SQL, D.PARAS_SQL)
     + """, l AS (SELECT *, CASE WHEN part % 5 <> 0 THEN art END AS own FROM paras),
@@ -208,7 +189,7 @@ def descriptions(spark, d):
     SELECT fig, max(own) AS artifact_id, string_agg(text, '' ORDER BY para_idx) AS text, CAST(CASE WHEN any_value(ids) = 1 THEN 0.95 ELSE 0.8 END AS DOUBLE) AS confidence
     FROM g WHERE ids = 1 OR ids > 1 AND k > 0 GROUP BY fig, CASE WHEN ids > 1 THEN k END"""
 )
-def body_split_many_whole(spark, d):
+def body_split_many(spark, d):
     """All text of a figure in one paragraph: cut at each id, what names none stays with the id before it."""
     p = D.paras(spark, d).groupBy("fig").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_idx", "text"))), lambda x: x["text"]), "").alias("text"))
     got = N.split_body(p.withColumn("id", F.lit("p0")).withColumn("n", F.lit(0)), ["fig"], "n")
@@ -221,26 +202,12 @@ def body_split_many_whole(spark, d):
     c AS (SELECT *, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY fig ORDER BY para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS a FROM l)
     SELECT cust, a AS artifact_id, arg_max(text, para_idx) AS description_text FROM c WHERE a IS NOT NULL GROUP BY ALL"""
 )
-def descriptions_whole(spark, d):
+def descriptions(spark, d):
     """The last text of an artifact wins, over all paragraphs: one without an id is text of the id before it."""
     got = N.split_body(D.paras(spark, d), ["cust", "fig"], "para_idx")
     return N.describe(got, ["cust"]).select("cust", "artifact_id", "description_text")
 
 
-@query(
-    _with(D.ITEMS_SQL, D.PARAS_SQL)
-    + """, a AS (SELECT DISTINCT fig, o_custkey AS cust, art FROM items JOIN orders ON o_orderkey = fig WHERE seq = 1)
-    SELECT DISTINCT a.fig, p.fig AS of_fig, CAST(p.para_idx AS INTEGER) AS para_idx FROM a JOIN paras p ON a.cust = p.cust AND contains(replace(p.text, '：', ':'), a.art)"""
-)
-def select_paragraphs(spark, d):
-    """Paragraphs of the same book that name a figure's artifacts (as a part of a longer id, too)."""
-    cust = D.captions(spark, d).select("fig", "cust")
-    f = D.items(spark, d).where("seq = 1").groupBy("fig").agg(F.collect_set("art").alias("artifacts")).join(cust, "fig")
-    f = f.select(F.col("cust").alias("book"), F.col("fig").alias("figure_id"), "artifacts", F.lit("").alias("fig_number"))
-    p = D.paras(spark, d).select(F.col("cust").alias("book"), "para_idx", F.col("fig").cast("string").alias("id"), "text")
-    return G.select_paragraphs(f, p).select(F.col("figure_id").alias("fig"), F.col("id").cast("long").alias("of_fig"), "para_idx")
-
-
 @query(
     _with(D.ITEMS_SQL, D.CAPTIONS_SQL, D.PARAS_SQL)
     + """, a AS (SELECT DISTINCT fig, book, art, fig % 7 = 0 AS told, CASE WHEN fig % 4 = 0 THEN 'image' || fig ELSE '图' || fig || CASE WHEN fig % 5 = 0 THEN '〇' ELSE '' END END AS number FROM caps LEFT JOIN items USING (fig)),
@@ -250,7 +217,7 @@ def select_paragraphs(spark, d):
     t AS (SELECT book, p.fig AS of_fig, para_idx, replace(text, '：', ':') AS norm, replace(replace(replace(text, ' ', ''), 'O', '〇'), 'o', '〇') AS canon FROM paras p JOIN caps USING (fig))
     SELECT DISTINCT k.fig, of_fig, CAST(para_idx AS INTEGER) AS para_idx FROM k JOIN t ON k.book = t.book AND contains(CASE WHEN by_id THEN norm ELSE canon END, key)"""
 )
-def select_paragraphs_whole(spark, d):
+def select_paragraphs(spark, d):
     """All figures against all paragraphs of their book: by the ids of the note, else of the caption, else by figure number."""
     caps = D.captions(spark, d)
     own = D.items(spark, d).groupBy("fig").agg(F.collect_set("art").alias("own"))
@@ -262,13 +229,37 @@ def select_paragraphs_whole(spark, d):
 
 
 # --- classification -------------------------------------------------------------------------------------------------
-_COUNTS = ", n AS (SELECT c.*, CASE WHEN k.n IS NOT NULL THEN k.n WHEN c.fig % 14 = 0 THEN 2 WHEN c.fig % 7 = 0 THEN 1 ELSE 0 END AS n FROM caps c LEFT JOIN (SELECT fig, count(DISTINCT art) AS n FROM items GROUP BY fig) k USING (fig))"
-_TYPE = "CASE WHEN n = 0 THEN 'discarded' ELSE CASE WHEN n = 1 THEN 'single_' ELSE 'multi_' END || CASE WHEN fig % 4 = 0 THEN 'plate' ELSE 'line' END || '_artifact' END"
+def _families(spark, d):
+    """Chroma and middle tones of small images made from embeddings: 63 numbers are 21 pixels."""
+    v = F.transform(F.slice("embedding", 1, 63), lambda x: F.floor((x.cast("double") + 0.6) * 212).cast("int"))
+    e = D.table(spark, d, "embeddings").select("vec_id", v.alias("v"))
+    px = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.struct(F.get("v", 3 * i).alias("r"), F.get("v", 3 * i + 1).alias("g"), F.get("v", 3 * i + 2).alias("b")))
+    e = e.select("vec_id", C.pixel_stats(px).alias("s")).select("vec_id", "s.*")
+    return e.withColumn("family", C.family(F.col("mean"), F.col("pct"), F.col("mid")))
+
+
+_FAMILIES = """px1 AS (SELECT vec_id, list_transform(embedding[1:63], lambda x: CAST(floor((CAST(x AS DOUBLE) + 0.6) * 212) AS INTEGER)) AS v FROM embeddings),
+    px2 AS (SELECT vec_id, unnest(range(0, 21)) AS i, v FROM px1),
+    px3 AS (SELECT vec_id, v[3*i+1] AS r, v[3*i+2] AS g, v[3*i+3] AS b FROM px2),
+    px4 AS (SELECT vec_id, sum(greatest(r, g, b) - least(r, g, b)) / 21.0::DOUBLE AS mean, count(*) FILTER (WHERE greatest(r, g, b) - least(r, g, b) > 20) / 21.0::DOUBLE * 100.0::DOUBLE AS pct,
+          count(*) FILTER (WHERE r + g + b > 192 AND r + g + b < 576) / 21.0::DOUBLE * 100.0::DOUBLE AS mid FROM px3 GROUP BY vec_id),
+    families AS (SELECT *, CASE WHEN pct >= 5 OR (mean >= 8 AND pct >= 1) THEN 'color' WHEN mid >= 15 THEN 'gray' ELSE 'line' END AS family FROM px4)"""
+
+
+@query(_with(_FAMILIES) + "SELECT vec_id, mean, pct, mid, family, CASE WHEN (family = 'color' AND pct < 10) OR (family = 'gray' AND mid < 28) OR (family = 'line' AND mid > 8) THEN 'low' ELSE 'high' END AS confidence FROM families")
+def pixel_family(spark, d):
+    return _families(spark, d).withColumn("confidence", C.family_confidence(F.col("family"), F.col("pct"), F.col("mid")))
+
+
+#: figure fig has image fig % 1000; where there is none, the caption tells plates from lines
+_COUNTS = ", " + _FAMILIES + ", n AS (SELECT c.*, coalesce(im.family <> 'line', c.fig % 4 = 0) AS plate, CASE WHEN k.n IS NOT NULL THEN k.n WHEN c.fig % 14 = 0 THEN 2 WHEN c.fig % 7 = 0 THEN 1 ELSE 0 END AS n FROM caps c LEFT JOIN (SELECT fig, count(DISTINCT art) AS n FROM items GROUP BY fig) k USING (fig) LEFT JOIN families im ON im.vec_id = c.fig % 1000)"
+_TYPE = "CASE WHEN n = 0 THEN 'discarded' ELSE CASE WHEN n = 1 THEN 'single_' ELSE 'multi_' END || CASE WHEN plate THEN 'plate' ELSE 'line' END || '_artifact' END"
 
 
 def _typed(spark, d):
     f = N.parse_notes(D.figs(spark, d), "figure_note").withColumn("n", N.artifact_count(F.col("note_items"), F.col("caption")).cast("long"))
-    return f.withColumn("image_type", C.image_type(F.col("n"), F.col("caption"), F.col("figure_note")))
+    f = f.withColumn("vec_id", F.col("fig") % 1000).join(_families(spark, d).select("vec_id", "family"), "vec_id", "left")
+    return f.withColumn("image_type", C.image_type(F.col("n"), F.col("caption"), F.col("figure_note"), F.col("family")))
 
 
 @query(_with(D.ITEMS_SQL, D.CAPTIONS_SQL) + _COUNTS + f" SELECT fig, CAST(n AS BIGINT) AS n, {_TYPE} AS image_type, CASE {_TYPE} WHEN 'single_line_artifact' THEN 'CLASSIFIED_SINGLE_LINE' WHEN 'single_plate_artifact' THEN 'CLASSIFIED_PLATE' WHEN 'multi_line_artifact' THEN 'CLASSIFIED' ELSE 'EXCLUDED' END AS status FROM n")
@@ -282,25 +273,6 @@ def status_by_image_type(spark, d):
     return R.status_by_type(t, ("CLASSIFIED", "SKIPPED_OFFLINE"))
 
 
-@query(
-    """WITH e AS (SELECT vec_id, list_transform(embedding[1:63], lambda x: CAST(floor((CAST(x AS DOUBLE) + 0.6) * 212) AS INTEGER)) AS v FROM embeddings),
-    p AS (SELECT vec_id, unnest(range(0, 21)) AS i, v FROM e),
-    c AS (SELECT vec_id, v[3*i+1] AS r, v[3*i+2] AS g, v[3*i+3] AS b FROM p),
-    s AS (SELECT vec_id, sum(greatest(r, g, b) - least(r, g, b)) / 21.0::DOUBLE AS mean, count(*) FILTER (WHERE greatest(r, g, b) - least(r, g, b) > 20) / 21.0::DOUBLE * 100.0::DOUBLE AS pct,
-          count(*) FILTER (WHERE r + g + b > 192 AND r + g + b < 576) / 21.0::DOUBLE * 100.0::DOUBLE AS mid FROM c GROUP BY vec_id),
-    f AS (SELECT *, CASE WHEN pct >= 5 OR (mean >= 8 AND pct >= 1) THEN 'color' WHEN mid >= 15 THEN 'gray' ELSE 'line' END AS family FROM s)
-    SELECT vec_id, mean, pct, mid, family, CASE WHEN (family = 'color' AND pct < 10) OR (family = 'gray' AND mid < 28) OR (family = 'line' AND mid > 8) THEN 'low' ELSE 'high' END AS confidence FROM f"""
-)
-def pixel_family(spark, d):
-    """Chroma and middle tones of small images made from embeddings: 63 numbers are 21 pixels."""
-    v = F.transform(F.slice("embedding", 1, 63), lambda x: F.floor((x.cast("double") + 0.6) * 212).cast("int"))
-    e = D.table(spark, d, "embeddings").select("vec_id", v.alias("v"))
-    px = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.struct(F.get("v", 3 * i).alias("r"), F.get("v", 3 * i + 1).alias("g"), F.get("v", 3 * i + 2).alias("b")))
-    e = e.select("vec_id", C.pixel_stats(px).alias("s")).select("vec_id", "s.*")
-    e = e.withColumn("family", C.family(F.col("mean"), F.col("pct"), F.col("mid")))
-    return e.withColumn("confidence", C.family_confidence(F.col("family"), F.col("pct"), F.col("mid")))
-
-
 # --- reconciliation -------------------------------------------------------------------------------------------------
 def fused(spark, d):
     f = N.parse_notes(D.figs(spark, d), "figure_note").withColumn("caption_artifacts", T.caption_artifacts(F.col("caption")))
@@ -393,24 +365,35 @@ def unmatched_masks(spark, d):
 
 
 @query(
-    _with(D.ITEMS_SQL, D.CAPTIONS_SQL, D.OCR_SQL)
-    + """, bad AS (SELECT DISTINCT fig FROM ocr ANTI JOIN items USING (fig, seq))
-    SELECT c.book, i.fig AS figure_id, CAST(i.seq AS VARCHAR) AS seq, art AS artifact_id, CASE WHEN i.fig % 4 = 0 THEN 'f' || i.fig ELSE '图' || i.fig || CASE WHEN i.fig % 5 = 0 THEN '〇' ELSE '' END END || '_' || i.seq || '_' || replace(art, ':', '-') || '.png' AS image_path
-    FROM ocr JOIN items i USING (fig, seq) JOIN caps c USING (fig) ANTI JOIN bad USING (fig)"""
+    _SIDES[: _SIDES.rindex(", s AS")]
+    + ", "
+    + D.PARAS_SQL
+    + _SIDES[_SIDES.rindex(", s AS") :].rstrip()
+    + """, bad AS (SELECT DISTINCT fig FROM ocr ANTI JOIN items USING (fig, seq)),
+    w AS (SELECT fig, noted AND NOT multi AND arts = 1 AND seqs > 1 OR NOT noted AND cap = 1 AS rule_b FROM j),
+    l AS (SELECT *, CASE WHEN part % 5 <> 0 THEN art END AS own FROM paras),
+    tx AS (SELECT fig, coalesce(own, last_value(own IGNORE NULLS) OVER (PARTITION BY fig ORDER BY para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS art, text, para_idx FROM l),
+    told AS (SELECT fig, art, arg_max(text, para_idx) AS description_text FROM tx WHERE art IS NOT NULL GROUP BY ALL),
+    r AS (SELECT c.book, i.fig, CAST(i.seq AS VARCHAR) AS seq, art, 1 AS views FROM ocr JOIN items i USING (fig, seq) JOIN caps c USING (fig) JOIN w USING (fig) ANTI JOIN bad USING (fig) WHERE NOT rule_b
+      UNION ALL SELECT c.book, c.fig, NULL, coalesce(a.art, 'M' || c.fig || ':1'), (SELECT count(*) FROM ocr WHERE ocr.fig = c.fig) FROM caps c JOIN w USING (fig) LEFT JOIN (SELECT fig, min(art) AS art FROM items GROUP BY fig) a USING (fig) WHERE rule_b)
+    SELECT book, r.fig AS figure_id, seq, r.art AS artifact_id, CASE WHEN r.fig % 4 = 0 THEN 'f' || r.fig ELSE '图' || r.fig || CASE WHEN r.fig % 5 = 0 THEN '〇' ELSE '' END END || '_' || coalesce(seq, '01') || '_' || replace(r.art, ':', '-') || '.png' AS image_path, CAST(views AS BIGINT) AS views, description_text
+    FROM r LEFT JOIN told ON told.fig = r.fig AND told.art = r.art"""
 )
 def multi_pairs(spark, d):
+    """A pair for each mask and artifact, one for all masks where an artifact has several numbers; with the last text of each."""
     masks, pairs = _sides(spark, d)
-    f = D.captions(spark, d).select("book", F.col("fig").alias("figure_id"), F.col("fig").alias("figure_ord"), F.concat(F.lit("f"), "fig", F.lit(".png")).alias("fileref"), "caption", F.lit("split_same_seq").alias("case_type"), _none("string").alias("caption_artifacts_used"))
-    nothing = pairs.select("figure_id", "artifact_id", F.lit(None).cast("string").alias("description_text")).limit(0)
-    return A.multi_pairs(f, masks, pairs, nothing).select("book", "figure_id", "seq", "artifact_id", "image_path")
+    told = fused(spark, d).select("fig", "case_type", "caption_artifacts_used")
+    f = D.captions(spark, d).join(told, "fig").select("book", F.col("fig").alias("figure_id"), F.col("fig").alias("figure_ord"), F.concat(F.lit("f"), "fig", F.lit(".png")).alias("fileref"), "caption", "case_type", "caption_artifacts_used")
+    texts = N.describe(N.split_body(D.paras(spark, d), ["fig"], "para_idx"), ["fig"]).withColumnRenamed("fig", "figure_id")
+    return A.multi_pairs(f, masks, pairs, texts).select("book", "figure_id", "seq", "artifact_id", "image_path", F.col("views").cast("long").alias("views"), "description_text")
 
 
 @query(
     _with(D.ITEMS_SQL, D.CAPTIONS_SQL)
     + _COUNTS
     + """, a AS (SELECT fig, min(art) AS art FROM items GROUP BY fig)
-    SELECT book, figure_id, coalesce(art, 'M' || n.fig || ':1') AS artifact_id, CASE WHEN n.fig % 4 = 0 THEN '图版' ELSE '图' END || n.fig || CASE WHEN n.fig % 5 = 0 THEN '〇' ELSE '' END || '_01_' || replace(coalesce(art, 'M' || n.fig || ':1'), ':', '-') || '.png' AS image_path,
-      CASE WHEN n.fig % 4 = 0 THEN 'plate_only' ELSE 'line_only' END AS image_merge_mode, CASE WHEN art IS NULL THEN 'caption' ELSE 'figure_note' END AS art_source
+    SELECT book, figure_id, coalesce(art, 'M' || n.fig || ':1') AS artifact_id, CASE WHEN n.fig % 4 <> 0 THEN '图' || n.fig || CASE WHEN n.fig % 5 = 0 THEN '〇' ELSE '' END WHEN plate THEN '图版' || n.fig || CASE WHEN n.fig % 5 = 0 THEN '〇' ELSE '' END ELSE 'f' || n.fig END || '_01_' || replace(coalesce(art, 'M' || n.fig || ':1'), ':', '-') || '.png' AS image_path,
+      CASE WHEN plate THEN 'plate_only' ELSE 'line_only' END AS image_merge_mode, CASE WHEN art IS NULL THEN 'caption' ELSE 'figure_note' END AS art_source
     FROM n LEFT JOIN a USING (fig) WHERE n = 1"""
 )
 def single_pairs(spark, d):
@@ -508,23 +491,80 @@ def recorded_calls(spark, d):
 # --- reports --------------------------------------------------------------------------------------------------------
 @query(
     _with(D.ITEMS_SQL, D.CAPTIONS_SQL)
-    + """, f AS (SELECT book, count(*) AS figures FROM caps GROUP BY book), p AS (SELECT book, count(*) AS pairs FROM items JOIN caps USING (fig) GROUP BY book),
-    v AS (SELECT book, count(*) AS violations FROM caps WHERE fig % 9 = 0 GROUP BY book), t AS (SELECT book, figures, coalesce(pairs, 0) AS pairs, coalesce(violations, 0) AS violations FROM f LEFT JOIN p USING (book) LEFT JOIN v USING (book))
-    SELECT book, CAST(sum(figures) AS BIGINT) AS figures, CAST(sum(pairs) AS BIGINT) AS pairs, CAST(sum(violations) AS BIGINT) AS violations FROM t GROUP BY ROLLUP (book)"""
+    + """, x AS (SELECT book, CASE fig % 3 WHEN 0 THEN 'EXCLUDED' ELSE 'OUTPUT' END AS status, 1 AS f, 0 AS p, 0 AS v FROM caps WHERE book <> 'book3'
+      UNION ALL SELECT book, NULL, 0, 1, 0 FROM items JOIN caps USING (fig) UNION ALL SELECT CASE fig % 2 WHEN 0 THEN book ELSE 'only broken' END, NULL, 0, 0, 1 FROM caps WHERE fig % 9 = 0 UNION ALL SELECT 'no figures', NULL, 0, 0, 0),
+    s AS (SELECT book, string_agg(status || '=' || n, ',' ORDER BY status) AS statuses FROM (SELECT book, status, count(*) AS n FROM x WHERE status IS NOT NULL GROUP BY ALL) GROUP BY book),
+    a AS (SELECT string_agg(status || '=' || n, ',' ORDER BY status) AS statuses FROM (SELECT status, count(*) AS n FROM x WHERE status IS NOT NULL GROUP BY ALL))
+    SELECT x.book, false AS total, CAST(1 AS BIGINT) AS books, CAST(sum(f) AS BIGINT) AS figures, CAST(sum(p) AS BIGINT) AS pairs, CAST(sum(v) AS BIGINT) AS violations, coalesce(any_value(statuses), '') AS statuses FROM x LEFT JOIN s ON s.book = x.book GROUP BY x.book
+    UNION ALL SELECT NULL, true, CAST(count(DISTINCT book) AS BIGINT), CAST(sum(f) AS BIGINT), CAST(sum(p) AS BIGINT), CAST(sum(v) AS BIGINT), (SELECT statuses FROM a) FROM x"""
 )
 def corpus_totals(spark, d):
-    c = D.captions(spark, d)
-    return R.corpus_totals(c, D.items(spark, d).join(c, "fig"), c.where("fig % 9 = 0"))
+    """Books that have figures, only violations, only pairs, or nothing."""
+    c = D.captions(spark, d).withColumn("status", F.when(F.col("fig") % 3 == 0, "EXCLUDED").otherwise("OUTPUT"))
+    broken = c.where("fig % 9 = 0").withColumn("book", F.when(F.col("fig") % 2 == 0, F.col("book")).otherwise("only broken"))
+    return R.corpus_totals(c.where("book != 'book3'"), D.items(spark, d).join(c, "fig"), broken, spark.createDataFrame([("no figures",)], "book string"))
 
 
 @query(
     _with(D.CAPTIONS_SQL)
-    + """, b AS (SELECT book, count(*) AS nfig, count(*) FILTER (WHERE fig % 3 <> 0) AS cap_role, count(*) FILTER (WHERE fig % 4 <> 0) AS note, count(*) FILTER (WHERE fig % 5 <> 0) AS rel_note,
-    count(*) FILTER (WHERE fig % 3 <> 0) AS rel_cap, count(*) FILTER (WHERE fig % 12 <> 0) AS both_, count(*) FILTER (WHERE fig % 2 = 0) AS im_dims, count(*) FILTER (WHERE fig % 11 = 0) AS viol FROM caps GROUP BY book)
-    SELECT book, round(greatest(0.0::DOUBLE, 20 * (cap_role / nfig) + 20 * (note / nfig) + 15 * (rel_note / nfig) + 15 * (both_ / nfig) + 10 * (rel_cap / nfig) + 10 * (im_dims / nfig) - 5 * (viol / nfig)), 1) AS score FROM b"""
+    + """, m(m, nfig, cap_role, note, rel_note, rel_cap, both_, im, im_dims, viol) AS (VALUES (0, 1, 1, 2, 1, 1, 1, 1, 1, 0), (1, 1, 1, 1, 1, 1, 1, 1, 1, 0), (2, 1, 0, 1, 1, 1, 1, 1, 1, 0), (3, 2, 2, 1, 1, 2, 1, 2, 2, 0), (4, 1, 1, 1, 0, 0, 0, 0, 0, 1), (5, 1, 0, 0, 0, 0, 0, 1, 1, 1), (6, 1, 1, 6, 1, 1, 1, 1, 1, 0)),
+    b AS (SELECT book, CAST(sum(nfig) AS DOUBLE) AS nfig, sum(cap_role) AS cap_role, sum(note) AS note, sum(rel_note) AS rel_note, sum(rel_cap) AS rel_cap, sum(both_) AS both_, sum(im) AS im, sum(im_dims) AS im_dims, sum(viol) AS viol FROM caps JOIN m ON m.m = fig % 7 GROUP BY book)
+    SELECT book, CAST(nfig AS BIGINT) AS nfig, CAST(note AS BIGINT) AS note, CAST(viol AS BIGINT) AS viol, round(greatest(0.0::DOUBLE, 20 * (cap_role / nfig) + 20 * (note / nfig) + 15 * (rel_note / nfig) + 15 * (both_ / nfig) + 10 * (rel_cap / nfig) + 10 * (im_dims / greatest(im, 1)) - 5 * (viol / nfig)), 1) AS score FROM b"""
 )
 def conformance_score(spark, d):
-    n = lambda x, name: F.sum(x.cast("long")).alias(name)
-    k = F.col("fig")
-    b = D.captions(spark, d).groupBy("book").agg(F.count("*").alias("nfig"), n(k % 3 != 0, "cap_role"), n(k % 4 != 0, "note"), n(k % 5 != 0, "rel_note"), n(k % 3 != 0, "rel_cap"), n(k % 12 != 0, "both"), n(k % 2 == 0, "im_dims"), n(k % 11 == 0, "viol"), F.count("*").alias("im"))
-    return R.conformance(b).select("book", "score")
+    """Counts from the elements of seven shapes, and the score made of them."""
+    e = elements(spark, d)
+    return R.conformance(R.conformance_metrics(e, G.associate(e))).select("book", "nfig", "note", "viol", "score")
+
+
+# --- whole runs -----------------------------------------------------------------------------------------------------
+def run_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Books of figures with their notes, and a paragraph for each item."""
+    caps = D.figs(spark, d).select("book", "fig", "caption", "figure_note")
+    kid = "struct<tag:string,role:string,text:string,fileref:string,w:string,h:string,caption:string,has_media:boolean>"
+    fig = F.struct(F.lit("figure"), F.lit(None), F.lit(None), F.concat(F.lit("m/image"), "fig", F.lit(".png")), F.lit("10"), F.lit("10"), F.col("caption"), F.lit(True)).cast(kid)
+    para = lambda role, text: F.struct(F.lit("para"), F.lit(role), text, F.lit(None), F.lit(None), F.lit(None), F.lit(None), F.lit(False)).cast(kid)
+    texts = D.paras(spark, d).groupBy("fig").agg(F.transform(F.array_sort(F.collect_list(F.struct("para_idx", "text"))), lambda x: x["text"]).alias("texts"))
+    rows = caps.join(texts, "fig", "left")
+    note = F.when(F.col("figure_note").isNotNull(), F.array(para("figure-note", F.col("figure_note")))).otherwise(F.array().cast(f"array<{kid}>"))
+    kids = F.concat(F.array(fig), note, F.transform(F.coalesce("texts", _none("string")), lambda t: para(None, t)))
+    out = rows.select("book", F.col("fig").alias("parent_ord"), F.posexplode(kids).alias("child_idx", "k"))
+    return out.select("book", "parent_ord", "child_idx", "k.*").withColumn("doc_ord", F.col("parent_ord") * 1000 + F.col("child_idx"))
+
+
+_RUN = (
+    _with(D.ITEMS_SQL, D.CAPTIONS_SQL, D.PARAS_SQL)
+    + _COUNTS.replace(_FAMILIES + ", ", "").replace("coalesce(im.family <> 'line', c.fig % 4 = 0)", "c.fig % 4 = 0").replace(" LEFT JOIN families im ON im.vec_id = c.fig % 1000", "")
+    + f""", ty AS (SELECT *, {_TYPE} AS image_type, '图' || CASE WHEN plate THEN '版' ELSE '' END || fig || CASE WHEN fig % 5 = 0 THEN '〇' ELSE '' END AS number FROM n),
+    own AS (SELECT DISTINCT fig, art, CASE WHEN part % 5 <> 0 THEN text END AS description_text FROM paras),
+    one AS (SELECT book, figure_id, coalesce(art, 'M' || ty.fig || ':1') AS artifact_id, number || '_01_' || replace(coalesce(art, 'M' || ty.fig || ':1'), ':', '-') || '.png' AS image_path, CASE WHEN plate THEN 'plate_only' ELSE 'line_only' END AS image_merge_mode, description_text
+            FROM ty LEFT JOIN own USING (fig) WHERE image_type LIKE 'single%'),
+    many AS (SELECT book, figure_id, art AS artifact_id, number || '_' || seq || '_' || replace(art, ':', '-') || '.png' AS image_path, 'line_only' AS image_merge_mode, description_text
+             FROM ty JOIN items USING (fig) JOIN own USING (fig, art) WHERE image_type = 'multi_line_artifact')
+    """
+)
+_PAIRS = ("book", "figure_id", "artifact_id", "image_path", "image_merge_mode", "description_text")
+
+
+@query(_RUN + "SELECT * FROM one")
+def run_single_pairs(spark, d):
+    """Pairs of the offline run."""
+    return reports.run_single(run_elements(spark, d)).pairs.select(*_PAIRS)
+
+
+@query(_RUN + "SELECT book, figure_id, image_type, CASE WHEN image_type LIKE 'single%' THEN 'OUTPUT' ELSE 'SKIPPED_OFFLINE' END AS status, 'book' || substr(book, 5) || ':' || figure_id || ':r1:p1:j1' AS thread_key FROM ty")
+def run_single_figures(spark, d):
+    """States of the offline run."""
+    return reports.run_single(run_elements(spark, d)).figures.select("book", "figure_id", "image_type", "status", "thread_key")
+
+
+@query(_RUN + "SELECT * FROM one UNION ALL SELECT * FROM many")
+def run_book_pairs(spark, d):
+    """Pairs of the full run, with models that see what the notes say."""
+    return reports.run_book(run_elements(spark, d)).pairs.select(*_PAIRS)
+
+
+@query(_RUN + "SELECT book, figure_id, image_type, CASE WHEN n > 1 AND NOT plate AND fig NOT IN (SELECT fig FROM items) THEN 'PENDING_REVIEW' WHEN image_type LIKE 'single%' OR n > 1 AND NOT plate THEN 'OUTPUT' ELSE 'EXCLUDED' END AS status, CASE WHEN n = 0 OR n > 1 AND plate THEN 'discarded_archived' END AS exclude_reason FROM ty")
+def run_book_figures(spark, d):
+    """States of the full run; several ids in a caption without a note are for review."""
+    return reports.run_book(run_elements(spark, d)).figures.select("book", "figure_id", "image_type", "status", "exclude_reason")
