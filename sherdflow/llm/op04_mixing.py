@@ -7,11 +7,10 @@ gets its share at any cut, and repeats begin only once a source's documents are
 `packet` words are several packets, so a source misses its target by less than one packet. With packet=None a
 document is one packet and is taken whole or not at all in each pass.
 
-Only DataFrame functions are used. Running sums are built on three levels, so neither a hot source nor the total
-order is summed in one task: inside (source, slot) groups, slots being ranges of the shuffle hash, and inside equal
-steps of virtual time, each of a few hundred rows; over the slots or steps of a block of BLOCK; and over blocks, one
-row for about half a million documents or packets. The sources' table (one row each) is ranked in one task; it has a
-few numbers for each source.
+Only DataFrame functions are used. Running sums are built level by level, so neither a hot source nor the total order
+is summed in one task: inside (source, slot) groups, slots being ranges of the shuffle hash, and inside equal steps of
+virtual time, each of a few hundred rows; then over blocks of BLOCK slots or steps, over blocks of blocks, and so on.
+The sources' table (one row each) is ranked in one task; it has a few numbers for each source.
 
 Cases: null text has size 0; documents of size 0 are never taken (taken 0); null source is a source, last in order;
 no words at all: target 0.0 everywhere; equal shuffle keys (repeated rows) are ordered by size and are
@@ -32,22 +31,26 @@ from ._io import checkpoint, table
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
-#: slots or steps in a block
-BLOCK = 1_024
+#: places that one window sums
+BLOCK = 128
 
 
-def starts(sums: DataFrame, at: str, value: str, *of: str) -> DataFrame:
-    """sums (of, at: a whole number, value) with `start`: the sum of value over all smaller places, for each `of`."""
-    block = F.floor(F.col(at) / BLOCK)
+def starts(sums: DataFrame, at: str, value: str, places: int, *of: str) -> DataFrame:
+    """sums (of, at: a whole number below `places`, value) with `start`: the sum of value over all smaller places, for
+    each `of`. Beyond BLOCK places a window sums inside a block, and blocks are summed likewise."""
     before = lambda *by: W.partitionBy(*by).rowsBetween(W.unboundedPreceding, -1)
-    blocks = sums.groupBy(*of, block.alias("block")).agg(F.sum(value).alias("inside"))
-    blocks = blocks.withColumn("sooner", F.coalesce(F.sum("inside").over(before(*of).orderBy("block")), F.lit(0))).drop("inside")
-    sums = sums.withColumn("block", block).withColumn("nearer", F.coalesce(F.sum(value).over(before(*of, "block").orderBy(at)), F.lit(0)))
+    if places <= BLOCK:
+        return sums.withColumn("start", F.coalesce(F.sum(value).over(before(*of).orderBy(at)), F.lit(0)))
+    over = f"{at}_block"  # a name for each level
+    sums = sums.withColumn(over, F.floor(F.col(at) / BLOCK))
+    blocks = sums.groupBy(*of, over).agg(F.sum(value).alias("inside"))
+    blocks = starts(blocks, over, "inside", -(-places // BLOCK), *of).withColumnRenamed("start", "sooner").drop("inside")
+    sums = sums.withColumn("nearer", F.coalesce(F.sum(value).over(before(*of, over).orderBy(at)), F.lit(0)))
     a, b = sums.alias("a"), blocks.alias("b")
-    on = F.col("a.block") == F.col("b.block")
+    on = F.col(f"a.{over}") == F.col(f"b.{over}")
     for c in of:
         on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    return a.join(b, on).select("a.*", (F.col("a.nearer") + F.col("b.sooner")).alias("start")).drop("block", "nearer")
+    return a.join(b, on).select("a.*", (F.col("a.nearer") + F.col("b.sooner")).alias("start")).drop(over, "nearer")
 
 
 def n_words(text: Column) -> Column:
@@ -103,7 +106,7 @@ class Mix:
 
         # running tokens of each source: inside slots, then over slots
         share = self.targets(rows)
-        slots_of = starts(rows.groupBy("source", "slot").agg(F.sum("size").alias("slot_size")), "slot", "slot_size", "source").withColumnRenamed("start", "slot_start")
+        slots_of = starts(rows.groupBy("source", "slot").agg(F.sum("size").alias("slot_size")), "slot", "slot_size", slots, "source").withColumnRenamed("start", "slot_start")
         same = lambda a, b: a.eqNullSafe(b)
         slots_of = slots_of.alias("a").join(share.alias("b"), same(F.col("a.source"), F.col("b.source"))).select("a.source", "a.slot", "a.slot_start", "b.source_size", "b.target")
         inside = W.partitionBy("source", "slot").orderBy("order", "key", "size").rowsBetween(W.unboundedPreceding, -1)
@@ -127,7 +130,8 @@ class Mix:
         packets = self.passes * (n + (total // self.packet if self.packet else 0))
         steps = max(1, -(-packets // self.slot_rows))
         work = work.withColumn("step", F.floor(F.col("finish") * steps))
-        steps_of = starts(work.groupBy("step").agg(F.sum("words").alias("step_words")), "step", "step_words").withColumnRenamed("start", "step_start").where(F.col("step_start") < budget)
+        places = (work.agg(F.max("step")).first()[0] or 0) + 1
+        steps_of = starts(work.groupBy("step").agg(F.sum("words").alias("step_words")), "step", "step_words", places).withColumnRenamed("start", "step_start").where(F.col("step_start") < budget)
         inside = W.partitionBy("step").orderBy("finish", F.col("source").asc_nulls_last(), "start", "from").rowsBetween(W.unboundedPreceding, -1)
         left = F.lit(budget) - F.col("step_start") - F.coalesce(F.sum("words").over(inside), F.lit(0))
         whole = F.when(left >= F.col("words"), F.col("words")).otherwise(0) if self.packet is None else F.least("words", left)

@@ -206,9 +206,9 @@ def test_starts(spark, monkeypatch):
 
     monkeypatch.setattr(op04_mixing, "BLOCK", 4)
     rows = [(s, k, (k * 7 + len(s or "")) % 11) for s in ("a", "b", None) for k in range(0, 30, 1 + len(s or ""))]
-    got = {(r["s"], r["k"]): r["start"] for r in op04_mixing.starts(spark.createDataFrame(rows, "s string, k long, v long"), "k", "v", "s").collect()}
+    got = {(r["s"], r["k"]): r["start"] for r in op04_mixing.starts(spark.createDataFrame(rows, "s string, k long, v long"), "k", "v", 30, "s").collect()}
     assert got == {(s, k): sum(v for t, j, v in rows if t == s and j < k) for s, k, _ in rows}
-    got = {r["k"]: r["start"] for r in op04_mixing.starts(spark.createDataFrame([(k, v) for s, k, v in rows if s == "a"], "k long, v long"), "k", "v").collect()}
+    got = {r["k"]: r["start"] for r in op04_mixing.starts(spark.createDataFrame([(k, v) for s, k, v in rows if s == "a"], "k long, v long"), "k", "v", 30).collect()}
     assert got == {k: sum(v for t, j, v in rows if t == "a" and j < k) for s, k, _ in rows if s == "a"}
 
 
