@@ -191,6 +191,8 @@ class JaccardJoin:
         apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0).cast("long"), lambda s, k: s + k)
         far = F.col("a.wide").isNotNull() & F.col("b.wide").isNotNull() & ((100 + self.percent) * apart > (100 - self.percent) * (F.col("a.n") + F.col("b.n")))
         pairs = checkpoint(full.where(~far).select("u", "part", "v"))
+        del full
+        tidy(rows.sparkSession)
         parts = pairs.select("u", "part").distinct()
         ids = pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct()
         texts = rows.join(beside(checkpoint(ids)), "doc", "left_semi")
@@ -231,6 +233,7 @@ class JaccardJoin:
         sketch = self.sketch(rows)
         classes, real = self.classes(sketch)
         classes = checkpoint(classes.withColumn("g1", F.xxhash64("prefix")).withColumn("g2", F.hash("prefix")))
+        tidy(df.sparkSession)
         same = ["n", "g1", "g2"]
         groups = classes.groupBy(*same).agg(F.min("rep").alias("leader"), F.count("*").alias("members"), F.first("prefix").alias("prefix"))
         bitmap = classes.select("rep", *BITS)
@@ -240,6 +243,7 @@ class JaccardJoin:
         post = groups.select(F.col("leader"), "n", F.posexplode("prefix").alias("pos", "token"))
         shared = post.groupBy("token").agg(F.min("leader").alias("head"), F.count("*").alias("k")).where("k > 1")
         post = checkpoint(post.join(shared, "token").select("token", "head", "leader", "n", "pos"))
+        tidy(df.sparkSession)
 
         # round 1: everything with its bucket's or group's leader
         heads = post.where("leader = head").select("token", F.col("n").alias("hn"), F.col("pos").alias("hpos"))
