@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sherdflow.llm._io import beside, checkpoint, name_beside, small_batches, table
+from sherdflow.llm._io import beside, checkpoint, name_beside, small_batches, table, tidy
 from sherdflow.llm._text import batches, give_back
 from sherdflow.llm.op02_packing import Pack
 from sherdflow.llm.op04_mixing import Mix, n_words
@@ -72,6 +72,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows, node = _numbered(docs)
     of = JaccardJoin(shingle=5, percent=80)(rows, node, "text")
     gone = checkpoint(of.where("doc != component_id").select(F.col("doc").alias(node)))
+    del of
+    tidy(spark)  # the join's steps end here
     return rows.join(beside(gone), node, "left_anti").select(docs.columns)
 
 

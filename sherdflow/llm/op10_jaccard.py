@@ -282,10 +282,13 @@ class JaccardJoin:
         cross = cross.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
         tidy(df.sparkSession)
         more = checkpoint(self.verified(rows, cross, classes))
-        del cross, a, b
+        del cross, a, b, minor, told, major, sizes, wide_post, alone, open_, spread, inside, wide, of, post
+        tidy(df.sparkSession)
         if more.limit(1).count():
             comp = components(links.unionByName(more))
         comp = checkpoint(comp)
+        del links, more, member, several, groups, shared, heads, bitmap
+        tidy(df.sparkSession)
 
         # back to documents
         reps = classes.select("n", "d1", "d2", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left")

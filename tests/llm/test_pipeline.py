@@ -71,3 +71,17 @@ def test_repeated_ids(spark, tmp_path):
     assert got[0] == got[1] and sum(got[0].values()) == 6
     assert {(r[0], r[1]) for r in got[0]} == {(1, BASE), (1, other), (None, third), (3, None), (3, ""), (4, " ")}
     assert P.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_driver_is_tidied(spark, folder, monkeypatch):
+    """No long row of steps without the driver giving back memory, and none after the last of the join's."""
+    import corpus_pipeline as P
+    from sherdflow.llm import _graph, _io, op10_jaccard
+
+    done = []
+    for module in (P, op10_jaccard, _graph):
+        monkeypatch.setattr(module, "checkpoint", lambda df: done.append("step") or _io.checkpoint(df))
+        monkeypatch.setattr(module, "tidy", lambda s: done.append("tidy") or _io.tidy(s), raising=False)
+    P.near_duplicates(spark, spark.read.parquet(f"{folder[0]}/documents.parquet"), folder[0])
+    assert done[-1] == "tidy"
+    assert max(len(x.split()) for x in " ".join(done).split("tidy")) <= 6
