@@ -4,13 +4,15 @@ A candidate is what fixed patterns leave of a run of token characters, if it has
 characters are scored by two second-order Markov models (smoothed towards first and zeroth order); it is a secret of
 kind `markov` if the mean log-likelihood ratio reaches the threshold.
 
-Labelled samples: random strings are drawn with a fixed seed from the usual alphabets. Ordinary identifiers are the
+Labelled strings: random strings are drawn with a fixed seed from the usual alphabets. Ordinary identifiers are the
 words of all documents (runs of less than 20 token characters), and every two words with one space between them
 joined by _, - or /, and by a capital. All documents are counted, each for itself; so the counts don't depend on the
 order or batches of rows. The counts have one cell for each three symbols of the 68-symbol alphabet, 328,509 at most,
 whatever the input. The threshold is where random strings that the model has not seen part from identifiers of three
-words with the least sum of error rates (in the middle, if there is a gap); of those identifiers about
-max_identifiers are taken, one from each of as many texts, picked by hash.
+words with the least sum of error rates (in the middle, if there is a gap). Those identifiers are every three
+neighbouring words of every document, in each of the four joints; they are scored in place and counted by score, so
+what is gathered has a row for each score that occurs, whatever the input. Ratios are whole millionths and scores
+whole thousandths, so no sum depends on its order.
 
 Spans are [start, end) in code points, sorted by start, then by kind in the order assign, access, hex, markov.
 
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._io import table
-from ._text import batches, texts
+from ._text import batches, give_back, texts
 
 # Fixed patterns; the limits on length are applied to matches afterwards, as failing matches use up their text too.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -48,6 +50,8 @@ CODE[[ord(c) for c in SYMBOLS]] = np.arange(1, N)
 CAPITAL = np.arange(N)
 CAPITAL[1:27] = np.arange(27, 53)
 JOINTS = CODE[np.frombuffer(b"_-/", np.uint8)]
+WORD = (CODE > 0) & (CODE <= 62)  # letters and digits, of which an identifier's words are made
+LONGEST = 64  # characters of a labelled identifier's words; the least is LEAST
 #: bytes counted at once; a longer document is cut where no word and no pair of words is cut
 STEP = 1 << 19
 
@@ -102,7 +106,7 @@ def identifier(text: str, at: int) -> str | None:
     """A labelled identifier: three neighbouring words (from a place given by a number on), joined in one of four ways."""
     found = [m.span() for m in re.finditer(r"[A-Za-z0-9]+", text)]
     sound = [i for i in range(len(found) - 2) if found[i][1] + 1 == found[i + 1][0] and found[i + 1][1] + 1 == found[i + 2][0] and text[found[i][1]] == text[found[i + 1][1]] == " "]
-    sound = [i for i in sound if LEAST <= sum(e - s for s, e in found[i : i + 3]) <= 64]
+    sound = [i for i in sound if LEAST <= sum(e - s for s, e in found[i : i + 3]) <= LONGEST]
     if not sound:
         return None
     i = sound[at % len(sound)]
@@ -110,6 +114,41 @@ def identifier(text: str, at: int) -> str | None:
     return w[0] + "".join(x[:1].upper() + x[1:] for x in w[1:]) if at % 4 == 3 else "_-/"[at % 4].join(w)
 
 
+def identifier_scores(data: np.ndarray, ratio: np.ndarray) -> np.ndarray:
+    """Scores of all labelled identifiers of a text: every three neighbouring words, joined in each of four ways."""
+    codes, word = CODE[data], WORD[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], word, [0]]).astype(np.int8)))
+    a, z = edge[::2], edge[1::2]
+    if len(a) < 3:
+        return np.zeros(0, np.int64)
+    joined = (a[1:] == z[:-1] + 1) & (data[z[:-1]] == 0x20)
+    space = z[:-1][joined]
+    size = z - a
+    n = size[:-2] + size[1:-1] + size[2:]
+    i = np.flatnonzero(joined[:-1] & joined[1:] & (n >= LEAST) & (n <= LONGEST))
+    n, out = n[i], []
+    s, e = a[i], z[i + 2]
+    first = codes[s]
+    zero = np.zeros(len(i), np.int64)
+    # a symbol counts with the two before it, whatever identifier they are in; only a first word's start is alone
+    for joint in JOINTS:
+        x = codes.copy()
+        x[space] = joint
+        sums = np.concatenate([[0], np.cumsum(ratio[cells(x)], dtype=np.int64)])
+        total = sums[e] - sums[s + 2] + ratio[cell(zero, zero, first)] + ratio[cell(zero, first, x[s + 1])]
+        out.append(total // (1000 * (n + 2)))
+    x = codes.copy()
+    x[space + 1] = CAPITAL[x[space + 1]]
+    keep = np.ones(len(x), bool)
+    keep[space] = False
+    s = s - np.searchsorted(space, s)
+    x = x[keep]
+    sums = np.concatenate([[0], np.cumsum(ratio[cells(x)], dtype=np.int64)])
+    second, third = x[s + 1], x[s + 2]
+    total = sums[s + n] - sums[s + 3] + ratio[cell(zero, zero, first)] + ratio[cell(zero, first, second)] + ratio[cell(first, second, third)]
+    return np.concatenate([*out, total // (1000 * n)])
+
+
 def random_strings(n: int, seed: int) -> list[str]:
     """Labelled samples: hexadecimal, base 32, base 62 and base 64 strings of 20 to 64 characters."""
     rng = np.random.default_rng(seed)
@@ -128,19 +167,22 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p2).ravel()
 
 
-def parting(above: np.ndarray, below: np.ndarray) -> float:
-    """The threshold of the least sum of both error rates; in the middle between the nearest values."""
+def parting(above: np.ndarray, below: np.ndarray, times: np.ndarray) -> float:
+    """The threshold of the least sum of both error rates; in the middle between the nearest values.
+
+    below: different values in order; times: how often each occurs.
+    """
     at = np.unique(np.concatenate([above, below]))
     cuts = np.concatenate([[at[0]], (at[1:] + at[:-1]) / 2])
-    loss = np.searchsorted(np.sort(above), cuts) / len(above) + 1 - np.searchsorted(np.sort(below), cuts) / len(below)
+    lower = np.concatenate([[0], np.cumsum(times)])[np.searchsorted(below, cuts)]
+    loss = np.searchsorted(np.sort(above), cuts) / len(above) + 1 - lower / times.sum()
     return float(cuts[np.argmin(np.round(loss, 9))])
 
 
 @dataclass
 class SecretScan:
-    ratio: np.ndarray | None = None  # log-likelihood ratio of each cell, random over ordinary
-    threshold: float = 0.0
-    max_identifiers: int = 4_000
+    ratio: np.ndarray | None = None  # log-likelihood ratio of each cell, random over ordinary, in millionths
+    threshold: float = 0.0  # in thousandths
 
     @staticmethod
     def segments(column: pa.Array) -> Iterator[np.ndarray]:
@@ -174,17 +216,16 @@ class SecretScan:
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["cell", "n"])
 
-    @staticmethod
-    def identifier_rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            yield pa.RecordBatch.from_arrays([pa.array([identifier(t, h & 0xFFFFFF) for t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist())], pa.string())], ["name"])
-
-    def identifiers(self, df: DataFrame, text: str) -> list[str]:
-        """Labelled identifiers: one from each of about max_identifiers different texts, picked by their hashes."""
-        share = min(1.0, self.max_identifiers / max(1, df.count()))
-        rows = df.where(df[text].isNotNull()).select(df[text].cast("string").alias("text"), F.xxhash64(df[text]).alias("h"))
-        rows = rows.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["h"])
-        return sorted(r["name"] for r in rows.mapInArrow(self.identifier_rows, "name string").collect() if r["name"])
+    def identifier_rows(self, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """score, n: how many labelled identifiers of all texts have it; a row at most for each score."""
+        least = int(self.ratio.min()) // 1000
+        n = np.zeros(int(self.ratio.max()) // 1000 - least + 1, np.int64)
+        for b in batches(it, 2000):
+            for part in self.segments(b.column(0)):
+                n += np.bincount(identifier_scores(part, self.ratio) - least, minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at + least), pa.array(n[at])], ["score", "n"])
+        give_back()
 
     @classmethod
     def fit(cls, df: DataFrame, text: str) -> SecretScan:
@@ -196,15 +237,16 @@ class SecretScan:
         codes = [CODE[np.frombuffer(s.encode(), np.uint8)] for s in random_strings(8000, 7)]
         for c in codes[::2]:
             np.add.at(rand, cells(c), 1)
-        model = cls(log_model(rand) - log_model(ordinary))
-        unseen = np.array([model.ratio[cells(c)].mean() for c in codes[1::2]])
-        names = np.array([model.score(x) for x in model.identifiers(df, text)])
-        model.threshold = parting(unseen, names) if len(names) else float(np.quantile(unseen, 0.02))
+        model = cls(np.round((log_model(rand) - log_model(ordinary)) * 1e6).astype(np.int32))
+        unseen = np.array([model.ratio[cells(c)].sum(dtype=np.int64) // (1000 * len(c)) for c in codes[1::2]])
+        names = df.select(df[text].cast("string").alias("text")).mapInArrow(model.identifier_rows, "score long, n long")
+        names = names.groupBy("score").agg(F.sum("n").alias("n")).toPandas().sort_values("score")
+        model.threshold = parting(unseen, names["score"].to_numpy(np.int64), names["n"].to_numpy(np.int64)) if len(names) else float(np.quantile(unseen, 0.02))
         return model
 
-    def score(self, run: str) -> float:
-        """Mean log-likelihood ratio of a run of token characters."""
-        return float(self.ratio[cells(CODE[np.frombuffer(run.encode(), np.uint8)])].mean())
+    def score(self, run: str) -> int:
+        """Mean log-likelihood ratio of a run of token characters, in whole thousandths."""
+        return int(self.ratio[cells(CODE[np.frombuffer(run.encode(), np.uint8)])].sum(dtype=np.int64) // (1000 * len(run)))
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(start, kind, end), sorted."""

@@ -449,6 +449,39 @@ def test_secret_model_against_brute_force(spark, docs, monkeypatch):
     assert S.log_model(want).reshape(c.shape)[i, j, k] == pytest.approx(math.log((c[i, j, k] + 4 * p1) / (c[i, j].sum() + 4)))
 
 
+def test_secret_threshold_from_all_identifiers(spark):
+    """Every three neighbouring words of every text, in every joint, each as often as it occurs, by plain loops."""
+    import random
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sherdflow.llm import op07_secrets as S
+
+    rng = random.Random(4)
+    odd = ["".join(rng.choice("bcdfghjkqvwxz0123456789") for _ in range(rng.randrange(1, 22))) for _ in range(400)]
+    texts = [*_corpus(30, 5), " ".join(odd), "a b c " * 9, "one  two three-fourfive sixseven\teight nineteen+twenty élan vitalement internationalement", "x", *[" ".join(odd[40:70])] * 3]
+    scan = S.SecretScan.fit(spark.createDataFrame([(t,) for t in [*texts, None, ""]], "t string").repartition(4), "t")
+    want = Counter()
+    for t in texts:
+        runs = [m.span() for m in re.finditer("[A-Za-z0-9]+", t)]
+        for three in zip(runs, runs[1:], runs[2:]):
+            w = [t[s:e] for s, e in three]
+            if t[three[0][0] : three[2][1]] == " ".join(w) and S.LEAST <= sum(map(len, w)) <= 64:
+                for name in (*(j.join(w) for j in "_-/"), w[0] + "".join(x[0].upper() + x[1:] for x in w[1:])):
+                    want[scan.score(name)] += 1
+    got = Counter()
+    for part in S.SecretScan.segments(pa.array([*texts, None, ""])):
+        got.update(S.identifier_scores(part, scan.ratio).tolist())
+    assert got == want and sum(want.values()) > 1000
+    unseen = [scan.score(x) for x in S.random_strings(8000, 7)[1::2]]
+    loss = lambda c: round(sum(x < c for x in unseen) / len(unseen) + sum(n for x, n in want.items() if x >= c) / sum(want.values()), 9)
+    at = sorted({*unseen, *want})
+    assert loss(scan.threshold) == min(loss(c) for c in [at[0], *((x + y) / 2 for x, y in zip(at, at[1:]))])
+    assert np.issubdtype(scan.ratio.dtype, np.integer)
+
+
 def test_base_spans_against_a_plain_scanner():
     import random
 
