@@ -5,7 +5,7 @@ from collections import Counter
 
 import pytest
 
-from .test_operators import BASE, PASSAGE, words
+from .test_operators import BASE, PASSAGE, _corpus, words
 
 
 @pytest.fixture(scope="module")
@@ -85,3 +85,23 @@ def test_driver_is_tidied(spark, folder, monkeypatch):
     P.near_duplicates(spark, spark.read.parquet(f"{folder[0]}/documents.parquet"), folder[0])
     assert done[-1] == "tidy"
     assert max(len(x.split()) for x in " ".join(done).split("tidy")) <= 6
+
+
+def test_secrets_threshold_from_all(spark, monkeypatch):
+    """The stage's threshold lies between the highest identifier of all texts and the lowest random string."""
+    import corpus_pipeline as P
+    from sherdflow.llm import op07_secrets as S
+
+    fits, fit = [], P.SecretScan.fit
+    monkeypatch.setattr(P.SecretScan, "fit", lambda *a: fits.append(fit(*a)) or fits[-1])
+    texts = _corpus(60, 5)
+    P.secrets(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    (scan,) = fits
+    names = set()
+    for t in texts:
+        for three in re.finditer(r"(?<![A-Za-z0-9])(?=([A-Za-z0-9]+) ([A-Za-z0-9]+) ([A-Za-z0-9]+))", t):
+            w = list(three.groups())
+            if 20 <= sum(map(len, w)) <= 64:
+                names |= {*(j.join(w) for j in "_-/"), w[0] + "".join(x[0].upper() + x[1:] for x in w[1:])}
+    highest, lowest = max(map(scan.score, names)), min(map(scan.score, S.random_strings(8000, 7)[1::2]))
+    assert len(names) > 40 and highest < lowest and scan.threshold == (highest + lowest) / 2
