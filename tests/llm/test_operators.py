@@ -764,6 +764,33 @@ def test_urls(spark):
     assert op(df.limit(0), "page_id", "url").count() == 0
 
 
+def test_urls_labels_from_all(spark, tmp_path):
+    """In the query every different url of a host teaches, 1/n each, by brute force; rejected names take turns."""
+    from sherdflow.llm.op01_urls import FOLDS, NAMES, UNIT, VERSIONS, UrlFilter, op1_urls
+
+    hosts = {"river.org": 7, "www.museum.org": 1, "garden.net": 3, "market.org": 40, "castle.org": 2, "hill.org": 3}
+    urls = [f"http://{h}/{chr(97 + k % 26)}{'x' * (k // 26)}/page" for h, n in hosts.items() for k in range(n)]
+    blocked = ["http://river.org.example.com/en/a", "http://garden.net/fr/a"]
+    df = spark.createDataFrame(list(enumerate([*urls, *urls[:3], *blocked, None, "nohost"])), "page_id long, url string")
+    op = UrlFilter(every=True)
+    samples = op.samples(op.parsed(df, "page_id", "url")).collect()
+    of, seen = {u: u.split("/")[2] for u in urls}, lambda u: u.replace(":", "~")
+    assert {r["symbols"]: r["w"] for r in samples if r["label"] == 0} == {seen(u): UNIT // hosts[of[u]] for u in urls}
+    fold = {h: int(hashlib.md5(("calibrate" + h).encode()).hexdigest()[:2], 16) % FOLDS for h in hosts}
+    for f in range(FOLDS):
+        good, bad = ([r for r in samples if r["label"] == k and r["fold"] == f] for k in (0, 1))
+        assert {r["symbols"] for r in good} == {seen(u) for u in urls if fold[of[u]] == f}
+        assert sum(r["w"] for r in bad) == VERSIONS * sum(r["w"] for r in good)
+    # 40 urls of one host meet all names of its fold
+    ends = {u.split("market", 1)[1] for u in urls if of[u] == "market.org"}
+    named = {r["symbols"].split("//")[1].split(".org")[0] for r in samples if r["label"] == 1 and "." + r["symbols"].split(".", 1)[1] in ends and r["fold"] == fold["market.org"]}
+    assert len(named) == len(NAMES[fold["market.org"] :: FOLDS])
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r["score"] for r in op1_urls(spark, str(tmp_path)).collect()}
+    assert got == {r["key"]: r["score"] for r in op(df.repartition(3), "page_id", "url").collect()}
+    assert got != {r["key"]: r["score"] for r in UrlFilter()(df, "page_id", "url").collect()}
+
+
 def test_tree_matching_against_brute_force(monkeypatch):
     """Weights and pairs against the plain recursion, with whole tables and with halved ones."""
     import random
